@@ -83,8 +83,10 @@ def ridge(
 def boosting_arguments(params: dict) -> dict:
     """MLlib arguments from boosting settings.
 
-    A tree limited to L leaves is given the depth at which it can have at most L.
-    Settings without a counterpart raise instead of being ignored.
+    MLlib fits each tree to the gradient of the squared error, twice the residual,
+    so half the learning rate takes the same step. A tree limited to L leaves is
+    given the depth at which it can have at most L. Settings without a counterpart
+    raise instead of being ignored.
     """
     params = dict(params)
     for name in UNSUPPORTED:
@@ -97,7 +99,7 @@ def boosting_arguments(params: dict) -> dict:
     columns = params.pop("colsample_bytree", 1.0)
     out = {
         "maxIter": params.pop("n_estimators", 20),
-        "stepSize": params.pop("learning_rate", 0.1),
+        "stepSize": params.pop("learning_rate", 0.1) / 2,
         "maxDepth": min(depth, 30),
         "minInstancesPerNode": params.pop("min_child_samples", 1),
         "subsamplingRate": params.pop("subsample", 1.0),

@@ -40,7 +40,7 @@ def test_ridge_equals_closed_form(frames, matrix):
 
 def test_boosting_arguments():
     got = train.boosting_arguments({k: v for k, v in BOOSTING_PARAMS.items() if k[:3] != "reg"})
-    assert got["maxDepth"] == 7 and got["maxIter"] == 20000 and got["stepSize"] == 0.0927
+    assert got["maxDepth"] == 7 and got["maxIter"] == 20000 and got["stepSize"] == 0.0927 / 2
     assert got["minInstancesPerNode"] == 20 and got["subsamplingRate"] == 0.779
     assert got["featureSubsetStrategy"] == "0.943"
     with pytest.raises(ValueError, match="no counterpart"):
@@ -53,6 +53,19 @@ BOOST = {"n_estimators": 12, "learning_rate": 0.9, "max_depth": 4, "min_child_sa
          "num_leaves": None, "subsample": 1.0, "colsample_bytree": 1.0}
 
 
+def test_learning_rate_scales_the_residual(spark):
+    """Two rounds of stumps by hand: mean per side, then a share of the mean residual."""
+    ys = [1.0, 2.0, 10.0, 14.0]
+    rows = spark.createDataFrame([(float(i), y) for i, y in enumerate(ys)], "x double, y double")
+    data = train.assemble(rows, ["x"], "y")
+    settings = {"n_estimators": 2, "learning_rate": 0.5, "max_depth": 1, "min_child_samples": 1,
+                "num_leaves": None, "subsample": 1.0, "colsample_bytree": 1.0}
+    model = train.boosted_trees(data, data, ["x"], settings).model
+    got = [r["prediction"] for r in model.transform(data).orderBy(train.LABEL).collect()]
+    # First split after x=1: 1.5 and 12. Residuals -.5, .5, -2, 2 split best after x=2.
+    assert got == pytest.approx([1.5 - 1 / 3, 1.5 - 1 / 3, 12 - 1 / 3, 12 + 1.0])
+
+
 def test_early_stopping_keeps_the_best_round(frames):
     rows, validation, names = frames
     fitted = train.boosted_trees(rows, validation, names, BOOST, patience=3, first_rounds=4)
