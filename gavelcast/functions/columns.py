@@ -34,8 +34,12 @@ def has_value(column: Column) -> Column:
 
 
 def extract_number(column: Column, pattern: str) -> Column:
-    """First capture group as a double; missing where the pattern does not match."""
-    return F.regexp_extract(column, pattern, 1).try_cast("double")
+    """First capture group as a double; missing where the pattern does not match.
+
+    The empty string of a failed match is nulled before the cast: a failed cast
+    costs an exception per row.
+    """
+    return F.nullif(F.regexp_extract(column, pattern, 1), F.lit("")).try_cast("double")
 
 
 def extract_numbers(column: Column, patterns: dict[str, str]) -> dict[str, Column]:

@@ -1,155 +1,186 @@
 """Exact order statistics that no single task has to hold.
 
 ``median`` and ``percentile`` keep every distinct value of a group in one
-buffer, which fails when one group owns a large share of a huge table. Here each
-group's value range is cut into equal-width bins, the bins are counted with
-map-side aggregation, and only the bin that contains a wanted rank is looked at
-again. A range shrinks to the smallest and largest value really found in the
-bin, so repeated values and far outliers end the search early instead of
-prolonging it. When the ranges hold few enough values, their distinct values are
+buffer, which fails when one group owns a large share of a huge table. Here a
+group with many rows has its value range cut into equal-width bins; the bins are
+counted with map-side aggregation, and only the bin that contains a wanted rank
+is looked at again. A range shrinks to the smallest and largest value really
+found in its bin, so repeated values and far outliers end the search early
+instead of prolonging it. Once the ranges hold few enough rows, their values are
 counted and ranked. The result equals a full sort.
 
-Groups whose number of distinct values is small from the start (years, flags,
-quantities) skip the narrowing and need two passes in all.
+Several columns share each pass, told apart by a column number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import materialize
+from .columns import c
 
-# Distinct values one group may hand to the final ranking.
-FINAL_VALUES = 1_000_000
+# Rows one range may hand to the final ranking.
+FINAL_ROWS = 1_000_000
 BINS = 1024
 
 
 def quantiles(
     df: DataFrame,
-    keys: Sequence[str],
-    value: str,
+    columns: Sequence[str],
     probs: Sequence[float],
-    final_values: int = FINAL_VALUES,
+    by: Column | None = None,
+    final_rows: int = FINAL_ROWS,
     bins: int = BINS,
 ) -> DataFrame:
-    """Interpolated quantiles per key: ``(*keys, prob, quantile)``.
+    """Interpolated quantiles per column and group: ``(feature, [key,] prob, quantile)``.
 
-    Missing values are skipped; a key without values yields no row. Keys must not
-    be null.
+    Missing values and rows without a group are skipped; a group without values
+    of a column yields no row for it.
     """
-    rows, totals = _prepare(df, keys, value)
+    search = _Search(df, columns, by, final_rows, bins)
     position = F.col("prob") * (F.col("n") - 1)
     targets = (
-        totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        search.totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("position", position)
         .withColumn("rank", F.explode(F.array_distinct(F.array(
             F.floor("position"), F.ceil("position")))))
     )
-    found = _select(rows, keys, targets, totals, final_values, bins)
     low, high = F.min("value"), F.max("value")
     share = F.first(F.col("position") - F.floor("position"))
-    return found.groupBy(*keys, "prob").agg((low + (high - low) * share).alias("quantile"))
+    found = search.select(targets, ["prob", "position"]).groupBy(*search.keys, "prob").agg(
+        (low + (high - low) * share).alias("quantile"))
+    names = F.array(*[F.lit(name) for name in columns])
+    return found.select(
+        F.element_at(names, F.col("id") + 1).alias("feature"), *search.keys[1:], "prob", "quantile")
 
 
 def values_at_ranks(
     df: DataFrame,
-    value: str,
+    column: str,
     ranks: Sequence[int],
-    final_values: int = FINAL_VALUES,
+    final_rows: int = FINAL_ROWS,
     bins: int = BINS,
 ) -> dict[int, float]:
-    """Values at zero-based ranks of the whole column, as driver scalars."""
-    keyed = df.withColumn("__all", F.lit(0))
-    rows, totals = _prepare(keyed, ["__all"], value)
-    wanted = F.explode(F.array(*[F.lit(int(r)).cast("long") for r in sorted(set(ranks))]))
-    targets = totals.withColumn("rank", wanted)
-    found = _select(rows, ["__all"], targets, totals, final_values, bins)
-    return {r["rank"]: r["value"] for r in found.select("rank", "value").collect()}
-
-
-def _prepare(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, DataFrame]:
-    number = F.col(value).cast("double")
-    rows = df.select(*keys, number.alias("value")).where(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
-    totals = rows.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.min("value").alias("lo"),
-        F.max("value").alias("hi"),
-        F.approx_count_distinct("value").alias("distinct"),
-    )
-    return rows, materialize(totals, "totals")
-
-
-def _select(rows, keys, targets, totals, final_values, bins) -> DataFrame:
-    """Attach ``value`` to each target row, given its ``rank`` within the key."""
-    extra = [name for name in targets.columns if name not in (*keys, "n", "lo", "hi", "distinct")]
-    # "offset": rank of the target among the rows of its range.
-    targets = targets.select(*keys, *extra, "lo", "hi", F.col("rank").alias("offset"),
-                             F.col("distinct").alias("size"))
-    largest = totals.agg(F.max("distinct")).first()[0]
-    while largest is not None and largest > final_values:
-        targets = materialize(_narrow(rows, keys, targets, final_values, bins), "ranges")
-        open_size = F.max(F.when(F.col("lo") < F.col("hi"), F.col("size")))
-        largest = targets.agg(open_size).first()[0]
-    return _rank(rows, keys, targets, extra)
-
-
-def _in_range(rows, ranges, keys) -> DataFrame:
-    """Rows joined to the ranges of their key that contain them."""
-    matched = rows.join(ranges, list(keys), "inner")
-    return matched.where(F.col("value").between(F.col("lo"), F.col("hi")))
-
-
-def _narrow(rows, keys, targets, final_values, bins) -> DataFrame:
-    wide = (F.col("lo") < F.col("hi")) & (F.col("size") > final_values)
-    open_targets = targets.where(wide)
-    ranges = open_targets.select(*keys, "lo", "hi").distinct()
-
-    # Both ends get a bin of their own, so every pass sheds at least the extremes,
-    # infinities included. Halving first keeps the width of the widest ranges finite.
-    share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
-    bin_no = (
-        F.when(F.col("value") == F.col("lo"), 0)
-        .when(F.col("value") == F.col("hi"), bins - 1)
-        .otherwise(1 + F.least(F.floor(share * (bins - 2)), F.lit(bins - 3)))
-    )
-    counted = (
-        _in_range(rows, ranges, keys)
-        .groupBy(*keys, "lo", "hi", bin_no.alias("bin"))
-        .agg(F.count("value").alias("bin_rows"), F.min("value").alias("bin_lo"),
-             F.max("value").alias("bin_hi"))
-    )
-    upto = Window.partitionBy(*keys, "lo", "hi").orderBy("bin").rowsBetween(
-        Window.unboundedPreceding, -1)
-    counted = counted.withColumn("before", F.coalesce(F.sum("bin_rows").over(upto), F.lit(0)))
-
-    hit = (F.col("offset") >= F.col("before")) & (
-        F.col("offset") < F.col("before") + F.col("bin_rows"))
-    kept = [name for name in targets.columns if name not in ("lo", "hi", "offset", "size")]
-    narrowed = open_targets.join(counted, [*keys, "lo", "hi"]).where(hit).select(
-        *kept, F.col("bin_lo").alias("lo"), F.col("bin_hi").alias("hi"),
-        (F.col("offset") - F.col("before")).alias("offset"), F.col("bin_rows").alias("size"))
-    return targets.where(~wide).select(*narrowed.columns).unionByName(narrowed)
-
-
-def _rank(rows, keys, targets, extra) -> DataFrame:
-    single = F.col("lo") == F.col("hi")
-    done = targets.where(single).select(*keys, *extra, F.col("lo").alias("value"))
-    rest = targets.where(~single)
-    ranges = rest.select(*keys, "lo", "hi").distinct()
-    counted = (
-        _in_range(rows, ranges, keys)
-        .groupBy(*keys, "lo", "hi", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    # Bounded: a range reaches this point with at most ``final_values`` distinct values.
-    upto = Window.partitionBy(*keys, "lo", "hi").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, -1)
-    counted = counted.withColumn("before", F.coalesce(F.sum("copies").over(upto), F.lit(0)))
-    hit = (F.col("offset") >= F.col("before")) & (
-        F.col("offset") < F.col("before") + F.col("copies"))
-    found = rest.join(counted, [*keys, "lo", "hi"]).where(hit)
-    return done.unionByName(found.select(*keys, *extra, "value"))
+    """Values at zero-based ranks of a whole column, as driver scalars."""
+    search = _Search(df, [column], None, final_rows, bins)
+    wanted = F.array(*[F.lit(int(r)).cast("long") for r in sorted(set(ranks))])
+    targets = search.totals.withColumn("rank", F.explode(wanted)).withColumn("wanted", F.col("rank"))
+    found = search.select(targets, ["wanted"])
+    return {r["wanted"]: r["value"] for r in found.collect()}
+
+
+class _Search:
+    """``rows``: (id, [key,] value); ``totals``: (id, [key,] n, lo, hi)."""
+
+    def __init__(self, df, columns, by, final_rows, bins):
+        if bins < 3:
+            raise ValueError("narrowing needs at least 3 bins")
+        self.final_rows, self.bins = final_rows, bins
+        self.keys = ["id"] if by is None else ["id", "key"]
+        group = [] if by is None else ["key"]
+
+        def number(name):
+            value = c(name).cast("double")
+            return F.when(~F.isnan(value), value)
+
+        chosen = [number(name).alias(f"v{i}") for i, name in enumerate(columns)]
+        wide = df.select(*chosen) if by is None else df.select(by.alias("key"), *chosen)
+        if group:
+            wide = wide.where(F.col("key").isNotNull())
+        cells = [F.struct(F.lit(i).alias("id"), F.col(f"v{i}").alias("value"))
+                 for i in range(len(columns))]
+        self.rows = wide.select(*group, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+
+        measures = [
+            agg(f"v{i}").alias(f"{tag}{i}")
+            for i in range(len(columns))
+            for tag, agg in (("n", F.count), ("lo", F.min), ("hi", F.max))
+        ]
+        measured = wide.groupBy(*group).agg(*measures)
+        per_column = [
+            F.struct(F.lit(i).alias("id"), *[F.col(f"{tag}{i}").alias(tag) for tag in ("n", "lo", "hi")])
+            for i in range(len(columns))
+        ]
+        totals = measured.select(*group, F.inline(F.array(*per_column))).where(F.col("n") > 0)
+        self.totals = materialize(totals, "totals") if group else self._local(totals)
+
+    @staticmethod
+    def _local(totals: DataFrame) -> DataFrame:
+        """One row per column: cheaper as a literal table than as a file."""
+        return totals.sparkSession.createDataFrame(totals.collect(), totals.schema)
+
+    def select(self, targets: DataFrame, extra: Sequence[str]) -> DataFrame:
+        """``(*keys, *extra, value)`` for each target's zero-based ``rank`` within its group."""
+        keys = self.keys
+        # "offset": rank among the rows of the range; "size": how many those are.
+        targets = targets.select(*keys, *extra, "lo", "hi", F.col("rank").alias("offset"),
+                                 F.col("n").alias("size"))
+        largest = self.totals.agg(F.max("n")).first()[0] or 0
+        narrowed = False
+        while largest > self.final_rows:
+            targets = materialize(self._narrow(targets), "ranges")
+            open_size = F.max(F.when(F.col("lo") < F.col("hi"), F.col("size")))
+            largest = targets.agg(open_size).first()[0] or 0
+            narrowed = True
+        return self._rank(targets, extra, narrowed)
+
+    def _inside(self, ranges: DataFrame) -> DataFrame:
+        matched = self.rows.join(ranges, self.keys, "inner")
+        return matched.where(F.col("value").between(F.col("lo"), F.col("hi")))
+
+    def _narrow(self, targets: DataFrame) -> DataFrame:
+        keys, bins = self.keys, self.bins
+        wide = (F.col("lo") < F.col("hi")) & (F.col("size") > self.final_rows)
+        open_targets = targets.where(wide)
+        ranges = open_targets.select(*keys, "lo", "hi").distinct()
+
+        # Both ends get a bin of their own, so every pass sheds at least the extremes,
+        # infinities included. Halving first keeps the width of the widest ranges finite.
+        share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        bin_no = (
+            F.when(F.col("value") == F.col("lo"), 0)
+            .when(F.col("value") == F.col("hi"), bins - 1)
+            .otherwise(1 + F.least(F.floor(share * (bins - 2)), F.lit(bins - 3)))
+        )
+        counted = (
+            self._inside(ranges)
+            .groupBy(*keys, "lo", "hi", bin_no.alias("bin"))
+            .agg(F.count("value").alias("copies"), F.min("value").alias("bin_lo"),
+                 F.max("value").alias("bin_hi"))
+        )
+        hit = self._located(open_targets, counted, [*keys, "lo", "hi"], "bin")
+        kept = [name for name in targets.columns if name not in ("lo", "hi", "offset", "size")]
+        narrowed = hit.select(
+            *kept, F.col("bin_lo").alias("lo"), F.col("bin_hi").alias("hi"),
+            (F.col("offset") - F.col("before")).alias("offset"), F.col("copies").alias("size"))
+        return targets.where(~wide).select(*narrowed.columns).unionByName(narrowed)
+
+    def _rank(self, targets, extra, narrowed) -> DataFrame:
+        keys = self.keys
+        if not narrowed:
+            counted = self.rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("copies"))
+            found = self._located(targets.drop("lo", "hi"), counted, keys, "value")
+            return found.select(*keys, *extra, "value")
+        single = F.col("lo") == F.col("hi")
+        done = targets.where(single).select(*keys, *extra, F.col("lo").alias("value"))
+        rest = targets.where(~single)
+        counted = (
+            self._inside(rest.select(*keys, "lo", "hi").distinct())
+            .groupBy(*keys, "lo", "hi", "value").agg(F.count(F.lit(1)).alias("copies"))
+        )
+        found = self._located(rest, counted, [*keys, "lo", "hi"], "value")
+        return done.unionByName(found.select(*keys, *extra, "value"))
+
+    @staticmethod
+    def _located(targets, counted, keys, order) -> DataFrame:
+        """Pair each target with the counted entry its offset falls into.
+
+        The window runs over at most ``bins`` or ``final_rows`` entries per key.
+        """
+        upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("before", F.coalesce(F.sum("copies").over(upto), F.lit(0)))
+        inside = (F.col("offset") >= F.col("before")) & (
+            F.col("offset") < F.col("before") + F.col("copies"))
+        return targets.join(counted, list(keys)).where(inside)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import absolute_error, percent_error, residual, to_original_scale
-from ..functions.quantiles import FINAL_VALUES, quantiles
+from ..functions.quantiles import FINAL_ROWS, quantiles
 from ..params import MODEL_METRIC, PRICE_SEGMENTS
 
 HIGHER_IS_BETTER = ("R2", "Accuracy")
@@ -111,12 +111,11 @@ def summary(by_split: DataFrame, metric: str = MODEL_METRIC, judged_on: str = "v
 
 
 def quantile_edges(
-    df: DataFrame, column: str, buckets: int, final_values: int = FINAL_VALUES
+    df: DataFrame, column: str, buckets: int, final_rows: int = FINAL_ROWS
 ) -> list[float]:
     """Inner edges between ``buckets`` equally filled ranges; a handful of scalars."""
     probs = [i / buckets for i in range(1, buckets)]
-    rows = df.select(F.lit(0).alias("__all"), F.col(column).cast("double").alias("value"))
-    found = quantiles(rows, ["__all"], "value", probs, final_values=final_values)
+    found = quantiles(df, [column], probs, final_rows=final_rows)
     return [r["quantile"] for r in found.orderBy("prob").collect()]
 
 
@@ -130,11 +129,11 @@ def bucket_of(column: Column, edges: Sequence[float], labels: Sequence[str]) ->
 
 def by_quantile(
     df: DataFrame, y: str = "y", prediction: str = "prediction",
-    labels: Sequence[str] = PRICE_SEGMENTS, final_values: int = FINAL_VALUES,
+    labels: Sequence[str] = PRICE_SEGMENTS, final_rows: int = FINAL_ROWS,
 ) -> DataFrame:
     """Errors per price segment: ``(segment, count, MAE, RMSE, R2, MAPE)``."""
     actual, predicted = F.col(y).cast("double"), F.col(prediction).cast("double")
-    edges = quantile_edges(df, y, len(labels), final_values)
+    edges = quantile_edges(df, y, len(labels), final_rows)
     order = F.array_position(F.array(*[F.lit(label) for label in labels]), F.col("segment"))
     return (
         df.withColumn("segment", bucket_of(actual, edges, labels))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.quantiles import FINAL_VALUES, quantiles
+from ..functions.quantiles import FINAL_ROWS, quantiles
 from ..params import KDE_POINTS, PRICE_BINS, RESIDUAL_BINS, YEARLY_SALES
 from . import evaluate
 
@@ -91,14 +91,14 @@ def kde(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataFrame:
              (F.lit(low) + F.col("point") * F.lit(step)).alias("x"), "density")
 
 
-def summary(df: DataFrame, column: str, final_values: int = FINAL_VALUES) -> DataFrame:
+def summary(df: DataFrame, column: str, final_rows: int = FINAL_ROWS) -> DataFrame:
     """``(n, mean, median, std)`` of the values present; std has ddof 1."""
-    values = _present(df, column).withColumn("__all", F.lit(0))
-    middle = quantiles(values, ["__all"], "x", [0.5], final_values=final_values)
-    median = middle.select("__all", F.col("quantile").alias("median"))
-    basics = values.groupBy("__all").agg(
-        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"))
-    return basics.join(median, "__all", "left").select("n", "mean", "median", "std")
+    values = _present(df, column)
+    middle = quantiles(values, ["x"], [0.5], final_rows=final_rows).first()
+    return values.agg(
+        F.count("x").alias("n"), F.avg("x").alias("mean"),
+        F.lit(middle["quantile"] if middle else None).cast("double").alias("median"),
+        F.stddev_samp("x").alias("std"))
 
 
 def sample_skewness(value: Column) -> Column:
@@ -151,7 +151,7 @@ def binned_trend(df: DataFrame, bins: int = 50, y: str = "y", prediction: str =
 def business_impact(
     df: DataFrame, baseline: str = "median_predictor", y: str = "y",
     prediction: str = "prediction", yearly_sales: int = YEARLY_SALES,
-    final_values: int = FINAL_VALUES,
+    final_rows: int = FINAL_ROWS,
 ) -> DataFrame:
     """What the model saves over a baseline.
 
@@ -160,7 +160,7 @@ def business_impact(
     """
     if baseline not in ("median_predictor", "median_price"):
         raise ValueError("baseline must be 'median_predictor' or 'median_price'")
-    median = evaluate.quantile_edges(df, y, 2, final_values)
+    median = evaluate.quantile_edges(df, y, 2, final_rows)
     middle = F.lit(median[0] if median else None).cast("double")
     actual, predicted = F.col(y).cast("double"), F.col(prediction).cast("double")
     errors = df.agg(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..params import Settings
+from ..runtime import spread
 
 SALE_SETTINGS = Settings(
     target="sale_price",
@@ -35,7 +36,7 @@ def sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, part, orders, customer, nation = (
         table(spark, sf_dir, n) for n in ("lineitem", "part", "orders", "customer", "nation"))
     joined = (
-        lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        spread(lineitem).join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))

@@ -41,3 +41,13 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a scan yields fewer splits than there are cores.
+
+    One large row group would otherwise keep all later per-row work in one task.
+    Inputs with enough splits, that is all large ones, pass through unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -32,7 +32,7 @@ def save_preprocessor(spark: SparkSession, prep: Preprocessor, path: str) -> str
     _write_json(spark, {
         "settings": asdict(prep.settings),
         "final_columns": prep.final_columns,
-        "final_values": prep.final_values,
+        "final_rows": prep.final_rows,
         "medians": {"group": medians.group, "features": medians.grouped_features,
                     "overall": medians.overall, "has_groups": medians.grouped is not None},
         "target": {"features": list(encoding.lookups), "overall": encoding.overall},
@@ -49,7 +49,7 @@ def save_preprocessor(spark: SparkSession, prep: Preprocessor, path: str) -> str
 def load_preprocessor(spark: SparkSession, path: str) -> Preprocessor:
     state = _read_json(spark, f"{path}/state")
     settings = {k: tuple(v) if isinstance(v, list) else v for k, v in state["settings"].items()}
-    prep = Preprocessor(Settings(**settings), state["final_values"])
+    prep = Preprocessor(Settings(**settings), state["final_rows"])
     m, t = state["medians"], state["target"]
     groups = None
     if m["has_groups"]:

@@ -50,7 +50,7 @@ def test_by_quantile_equals_pandas(spark):
     rng = np.random.default_rng(0)
     y = rng.lognormal(9, 1, 503)
     codes = pd.qcut(y, 5, labels=False)
-    got = evaluate.by_quantile(pairs(spark, y, y * 1.1), final_values=60).collect()
+    got = evaluate.by_quantile(pairs(spark, y, y * 1.1), final_rows=60).collect()
     assert [r["count"] for r in got] == np.bincount(codes).tolist()
     assert [r["MAE"] for r in got] == pytest.approx([np.mean(y[codes == k] * 0.1) for k in range(5)])
 
