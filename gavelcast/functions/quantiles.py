@@ -9,7 +9,9 @@ found in its bin, so repeated values and far outliers end the search early
 instead of prolonging it. Once the ranges hold few enough rows, their values are
 counted and ranked. The result equals a full sort.
 
-Several columns share each pass, told apart by a column number.
+Several columns share each pass, told apart by a column number. An input that a
+single task could hold entirely, counted over all groups and columns, is left to
+``percentile``.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from .columns import c
 # Rows one range may hand to the final ranking.
 FINAL_ROWS = 1_000_000
 BINS = 1024
+# Values of an input, in all, that ``percentile`` may hold.
+HELD_VALUES = 10_000_000
 
 
 def quantiles(
@@ -33,6 +37,7 @@ def quantiles(
     by: Column | None = None,
     final_rows: int = FINAL_ROWS,
     bins: int = BINS,
+    held_values: int = HELD_VALUES,
 ) -> DataFrame:
     """Interpolated quantiles per column and group: ``(feature, [key,] prob, quantile)``.
 
@@ -40,6 +45,11 @@ def quantiles(
     of a column yields no row for it.
     """
     search = _Search(df, columns, by, final_rows, bins)
+    names = F.array(*[F.lit(name) for name in columns])
+    output = [F.element_at(names, F.col("id") + 1).alias("feature"), *search.keys[1:],
+              "prob", "quantile"]
+    if search.held <= held_values:
+        return search.percentiles(probs).select(*output)
     position = F.col("prob") * (F.col("n") - 1)
     targets = (
         search.totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
@@ -51,9 +61,7 @@ def quantiles(
     share = F.first(F.col("position") - F.floor("position"))
     found = search.select(targets, ["prob", "position"]).groupBy(*search.keys, "prob").agg(
         (low + (high - low) * share).alias("quantile"))
-    names = F.array(*[F.lit(name) for name in columns])
-    return found.select(
-        F.element_at(names, F.col("id") + 1).alias("feature"), *search.keys[1:], "prob", "quantile")
+    return found.select(*output)
 
 
 def values_at_ranks(
@@ -72,7 +80,10 @@ def values_at_ranks(
 
 
 class _Search:
-    """``rows``: (id, [key,] value); ``totals``: (id, [key,] n, lo, hi)."""
+    """``rows``: (id, [key,] value); ``totals``: (id, [key,] n, lo, hi).
+
+    ``held`` and ``largest``: values in all, and in the largest group of a column.
+    """
 
     def __init__(self, df, columns, by, final_rows, bins):
         if bins < 3:
@@ -104,21 +115,36 @@ class _Search:
             for i in range(len(columns))
         ]
         totals = measured.select(*group, F.inline(F.array(*per_column))).where(F.col("n") > 0)
+        self.wide, self.width = wide, len(columns)
         self.totals = materialize(totals, "totals") if group else self._local(totals)
+        size = self.totals.agg(F.sum("n").alias("held"), F.max("n").alias("largest")).first()
+        self.held, self.largest = size["held"] or 0, size["largest"] or 0
 
     @staticmethod
     def _local(totals: DataFrame) -> DataFrame:
         """One row per column: cheaper as a literal table than as a file."""
         return totals.sparkSession.createDataFrame(totals.collect(), totals.schema)
 
+    def percentiles(self, probs: Sequence[float]) -> DataFrame:
+        """``(*keys, prob, quantile)`` by the built-in aggregate."""
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        found = self.wide.groupBy(*self.keys[1:]).agg(
+            *[F.percentile(f"v{i}", wanted).alias(f"q{i}") for i in range(self.width)])
+        cells = [
+            F.struct(F.lit(i).alias("id"), F.lit(float(p)).alias("prob"),
+                     F.col(f"q{i}")[k].alias("quantile"))
+            for i in range(self.width) for k, p in enumerate(probs)
+        ]
+        long = found.select(*self.keys[1:], F.inline(F.array(*cells)))
+        return long.where(F.col("quantile").isNotNull())
+
     def select(self, targets: DataFrame, extra: Sequence[str]) -> DataFrame:
         """``(*keys, *extra, value)`` for each target's zero-based ``rank`` within its group."""
         keys = self.keys
         # "offset": rank among the rows of the range; "size": how many those are.
         targets = targets.select(*keys, *extra, "lo", "hi", F.col("rank").alias("offset"),
                                  F.col("n").alias("size"))
-        largest = self.totals.agg(F.max("n")).first()[0] or 0
-        narrowed = False
+        largest, narrowed = self.largest, False
         while largest > self.final_rows:
             targets = materialize(self._narrow(targets), "ranges")
             open_size = F.max(F.when(F.col("lo") < F.col("hi"), F.col("size")))

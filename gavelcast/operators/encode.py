@@ -14,12 +14,18 @@ from .lookup import BROADCAST_BYTES, LookupTable, attach
 
 # One plan column is built per kept level, so their number must fit a plan.
 MAX_DUMMIES = 20_000
+# Stands for "no feature" in the table of target means.
+ALL_ROWS = "(all rows)"
 
 
-def _levels(df: DataFrame, features: Sequence[str], *extra: Column) -> DataFrame:
+def _levels(
+    df: DataFrame, features: Sequence[str], *extra: Column, overall: bool = False
+) -> DataFrame:
     """``(feature, level, *extra)``: one row per cell, in one pass for all features."""
-    cells = [F.struct(F.lit(f).alias("feature"), level_text(df, f).alias("level"))
-             for f in features]
+    named = [(f, level_text(df, f)) for f in features]
+    if overall:
+        named.append((ALL_ROWS, F.lit(ALL_ROWS)))
+    cells = [F.struct(F.lit(f).alias("feature"), level.alias("level")) for f, level in named]
     return df.select(*extra, F.inline(F.array(*cells)))
 
 
@@ -33,12 +39,18 @@ class TargetEncoding:
     lookups: dict[str, LookupTable]
     when_null: dict[str, float | None]
     overall: float | None
-    state: DataFrame | None = None
+    state: DataFrame
 
 
-def target_means(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """``(feature, level, mean, n)``: one shuffle of partial sums for all features."""
-    cells = _levels(df, features, c(target).cast("double").alias("y"))
+def target_means(
+    df: DataFrame, features: Sequence[str], target: str, with_overall: bool = False
+) -> DataFrame:
+    """``(feature, level, mean, n)``: one shuffle of partial sums for all features.
+
+    ``with_overall`` adds the mean of all rows as a feature of its own.
+    """
+    y = c(target).cast("double").alias("y")
+    cells = _levels(df, features, y, overall=with_overall)
     return (
         cells.where(F.col("level").isNotNull())
         .groupBy("feature", "level")
@@ -51,21 +63,21 @@ def fit_target(
     broadcast_limit: int = BROADCAST_BYTES,
 ) -> TargetEncoding:
     features = [f for f in features if f in df.columns]
-    overall = df.agg(F.avg(c(target).cast("double"))).first()[0]
-    if not features:
-        return TargetEncoding({}, {}, overall)
-    state = materialize(target_means(df, features, target), "target-means", "feature")
-    return target_encoding(state, features, overall, broadcast_limit)
+    means = target_means(df, features, target, with_overall=True)
+    return target_encoding(materialize(means, "target-means", "feature"), features, broadcast_limit)
 
 
-def target_encoding(state, features, overall, broadcast_limit=BROADCAST_BYTES) -> TargetEncoding:
-    """Wrap a ``(feature, level, mean, n)`` table, measuring each feature's share."""
+def target_encoding(
+    state: DataFrame, features: Sequence[str], broadcast_limit: int = BROADCAST_BYTES
+) -> TargetEncoding:
+    """Wrap a stored ``(feature, level, mean, n)`` table, measuring each feature's share."""
     sizes = {
         r["feature"]: r
         for r in state.groupBy("feature").agg(
             F.sum(F.octet_length("level") + 48).alias("bytes"),
             F.sum("n").alias("rows"),
             F.max(F.when(F.col("level") == FILL_TEXT, F.col("mean"))).alias("fill_mean"),
+            F.max(F.when(F.col("level") == ALL_ROWS, F.col("mean"))).alias("overall"),
         ).collect()
     }
     lookups, when_null = {}, {}
@@ -76,6 +88,7 @@ def target_encoding(state, features, overall, broadcast_limit=BROADCAST_BYTES) -
         lookups[f] = LookupTable(
             table, size["bytes"] if size else 0, size["rows"] if size else 0, broadcast_limit)
         when_null[f] = size["fill_mean"] if size else None
+    overall = sizes[ALL_ROWS]["overall"] if ALL_ROWS in sizes else None
     return TargetEncoding(lookups, when_null, overall, state)
 
 

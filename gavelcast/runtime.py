@@ -30,7 +30,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/gavelcast-{label}-{uuid.uuid4().hex}"
+    """A new path below one folder per application, so that folder can go when it ends."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/gavelcast/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from dataclasses import asdict
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.encode import OneHot, TargetEncoding, target_encoding
+from ..operators.encode import OneHot, target_encoding
 from ..operators.impute import Medians, measured
 from ..operators.preprocess import Preprocessor
 from ..operators.train import MODEL_NAMES, TrainingRun
@@ -35,14 +35,12 @@ def save_preprocessor(spark: SparkSession, prep: Preprocessor, path: str) -> str
         "final_rows": prep.final_rows,
         "medians": {"group": medians.group, "features": medians.grouped_features,
                     "overall": medians.overall, "has_groups": medians.grouped is not None},
-        "target": {"features": list(encoding.lookups), "overall": encoding.overall},
+        "target_encoded": list(encoding.lookups),
         "one_hot": asdict(prep.one_hot),
     }, f"{path}/state")
     if medians.grouped is not None:
         medians.grouped.table.write.mode("overwrite").parquet(f"{path}/group_medians")
-    if encoding.state is not None:
-        encoding.state.write.mode("overwrite").partitionBy("feature").parquet(
-            f"{path}/target_means")
+    encoding.state.write.mode("overwrite").partitionBy("feature").parquet(f"{path}/target_means")
     return path
 
 
@@ -50,17 +48,14 @@ def load_preprocessor(spark: SparkSession, path: str) -> Preprocessor:
     state = _read_json(spark, f"{path}/state")
     settings = {k: tuple(v) if isinstance(v, list) else v for k, v in state["settings"].items()}
     prep = Preprocessor(Settings(**settings), state["final_rows"])
-    m, t = state["medians"], state["target"]
+    m = state["medians"]
     groups = None
     if m["has_groups"]:
         groups = measured(spark.read.parquet(f"{path}/group_medians"))
     prep.medians = Medians(m["group"], groups, m["features"], m["overall"])
-    if t["features"]:
-        means = spark.read.schema("level string, mean double, n bigint, feature string").parquet(
-            f"{path}/target_means")
-        prep.target_encoding = target_encoding(means, t["features"], t["overall"])
-    else:
-        prep.target_encoding = TargetEncoding({}, {}, t["overall"])
+    means = spark.read.schema("level string, mean double, n bigint, feature string").parquet(
+        f"{path}/target_means")
+    prep.target_encoding = target_encoding(means, state["target_encoded"])
     prep.one_hot = OneHot(**state["one_hot"])
     prep.final_columns = state["final_columns"]
     prep.fitted = True
