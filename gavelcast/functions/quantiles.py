@@ -27,7 +27,7 @@ from .columns import c
 FINAL_ROWS = 1_000_000
 BINS = 1024
 # Values of an input, in all, that ``percentile`` may hold.
-HELD_VALUES = 10_000_000
+HELD_VALUES = 1_000_000
 
 
 def quantiles(
@@ -39,15 +39,15 @@ def quantiles(
     bins: int = BINS,
     held_values: int = HELD_VALUES,
 ) -> DataFrame:
-    """Interpolated quantiles per column and group: ``(feature, [key,] prob, quantile)``.
+    """Interpolated quantiles per column and group: ``(feature, [key,] prob, quantile, n)``.
 
-    Missing values and rows without a group are skipped; a group without values
+    ``n`` is the number of values behind it. Missing values and rows without a group are skipped; a group without values
     of a column yields no row for it.
     """
     search = _Search(df, columns, by, final_rows, bins)
     names = F.array(*[F.lit(name) for name in columns])
     output = [F.element_at(names, F.col("id") + 1).alias("feature"), *search.keys[1:],
-              "prob", "quantile"]
+              "prob", "quantile", "n"]
     if search.held <= held_values:
         return search.percentiles(probs).select(*output)
     position = F.col("prob") * (F.col("n") - 1)
@@ -59,8 +59,8 @@ def quantiles(
     )
     low, high = F.min("value"), F.max("value")
     share = F.first(F.col("position") - F.floor("position"))
-    found = search.select(targets, ["prob", "position"]).groupBy(*search.keys, "prob").agg(
-        (low + (high - low) * share).alias("quantile"))
+    found = search.select(targets, ["prob", "position", "n"]).groupBy(*search.keys, "prob").agg(
+        (low + (high - low) * share).alias("quantile"), F.first("n").alias("n"))
     return found.select(*output)
 
 
@@ -126,13 +126,14 @@ class _Search:
         return totals.sparkSession.createDataFrame(totals.collect(), totals.schema)
 
     def percentiles(self, probs: Sequence[float]) -> DataFrame:
-        """``(*keys, prob, quantile)`` by the built-in aggregate."""
+        """``(*keys, prob, quantile, n)`` by the built-in aggregate."""
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         found = self.wide.groupBy(*self.keys[1:]).agg(
-            *[F.percentile(f"v{i}", wanted).alias(f"q{i}") for i in range(self.width)])
+            *[F.percentile(f"v{i}", wanted).alias(f"q{i}") for i in range(self.width)],
+            *[F.count(f"v{i}").alias(f"n{i}") for i in range(self.width)])
         cells = [
             F.struct(F.lit(i).alias("id"), F.lit(float(p)).alias("prob"),
-                     F.col(f"q{i}")[k].alias("quantile"))
+                     F.col(f"q{i}")[k].alias("quantile"), F.col(f"n{i}").alias("n"))
             for i in range(self.width) for k, p in enumerate(probs)
         ]
         long = found.select(*self.keys[1:], F.inline(F.array(*cells)))

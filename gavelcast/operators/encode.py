@@ -187,22 +187,22 @@ def group_rare(df: DataFrame, encoding: OneHot) -> DataFrame:
     ])
 
 
-def dummy_columns(df: DataFrame, encoding: OneHot) -> list[Column]:
-    out = []
-    for f, levels in encoding.dummies.items():
-        if f not in df.columns:
-            continue
-        grouped = grouped_level(df, f, encoding)
-        value = F.coalesce(level_text(df, f), F.lit(FILL_TEXT))
-        for level in levels:
-            # Only the rare word needs the whole list of kept levels.
-            direct = level in encoding.kept[f] and level != RARE_TEXT
-            hit = (value if direct else grouped) == F.lit(level)
-            out.append(hit.cast("int").alias(f"{f}_{level}"))
+def dummy_columns(df: DataFrame, encoding: OneHot, feature: str) -> dict[str, Column]:
+    """Column name -> 0/1 expression of one feature."""
+    grouped = grouped_level(df, feature, encoding)
+    value = F.coalesce(level_text(df, feature), F.lit(FILL_TEXT))
+    out = {}
+    for level in encoding.dummies[feature]:
+        # Only the rare word needs the whole list of kept levels.
+        direct = level in encoding.kept[feature] and level != RARE_TEXT
+        out[f"{feature}_{level}"] = ((value if direct else grouped) == F.lit(level)).cast("int")
     return out
 
 
 def apply_onehot(df: DataFrame, encoding: OneHot) -> DataFrame:
     """Replace the features by their dummy columns, in one projection."""
+    features = [f for f in encoding.dummies if f in df.columns]
     rest = [c(n) for n in df.columns if n not in encoding.dummies]
-    return df.select(*rest, *dummy_columns(df, encoding))
+    dummies = [column.alias(name) for f in features
+               for name, column in dummy_columns(df, encoding, f).items()]
+    return df.select(*rest, *dummies)

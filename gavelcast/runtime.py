@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -53,3 +56,10 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def concurrently(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """Run independent fits at the same time, so one fills the cores another leaves idle."""
+    with ThreadPoolExecutor(max_workers=max(len(steps), 1)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [s.result() for s in started]

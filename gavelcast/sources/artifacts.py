@@ -31,6 +31,7 @@ def save_preprocessor(spark: SparkSession, prep: Preprocessor, path: str) -> str
     medians, encoding = prep.medians, prep.target_encoding
     _write_json(spark, {
         "settings": asdict(prep.settings),
+        "sources": prep.sources,
         "final_columns": prep.final_columns,
         "final_rows": prep.final_rows,
         "medians": {"group": medians.group, "features": medians.grouped_features,
@@ -57,7 +58,7 @@ def load_preprocessor(spark: SparkSession, path: str) -> Preprocessor:
         f"{path}/target_means")
     prep.target_encoding = target_encoding(means, state["target_encoded"])
     prep.one_hot = OneHot(**state["one_hot"])
-    prep.final_columns = state["final_columns"]
+    prep.sources, prep.final_columns = state["sources"], state["final_columns"]
     prep.fitted = True
     return prep
 
