@@ -233,6 +233,17 @@ class TrainingRun:
             raise RuntimeError("no model has been trained")
         return self.models[evaluate.best_model_key(self.results, metric)]
 
+    def leaderboard(self, metric: str = evaluate.MODEL_METRIC) -> DataFrame:
+        """Validation results with display names and training times, best first."""
+        names = F.create_map(*[F.lit(part) for pair in MODEL_NAMES.items() for part in pair])
+        ranked = evaluate.leaderboard(self.results, metric)
+        return ranked.withColumn("name", F.coalesce(F.try_element_at(names, "model"), "model"))
+
+    def importance(self, spark: SparkSession, key: str, top_n: int = 20) -> DataFrame | None:
+        """Top features of one model; ``None`` for an unknown model or one without weights."""
+        fitted = self.models.get(key)
+        return fitted and evaluate.feature_importance(spark, fitted.model, fitted.features, top_n)
+
 
 def predict_all(
     models: dict[str, Fitted], df: DataFrame, y: str, carry: Sequence[str] = ()

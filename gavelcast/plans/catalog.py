@@ -32,9 +32,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6, **other_digits: int) -> DataFrame:
+    """Round doubles. Mean prices get 2 digits: prices have 3 decimals, so a mean that
+    ends in a rounding tie there is rare, while at 4 or 5 digits it is common."""
     return df.select(*[
-        F.round(c(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else c(f.name)
+        F.round(c(f.name), other_digits.get(f.name, digits)).alias(f.name)
+        if isinstance(f.dataType, T.DoubleType) else c(f.name)
         for f in df.schema.fields
     ])
 
@@ -173,7 +176,7 @@ def separate_target(spark, sf_dir):
     sums = features.agg(F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity"))
     mean = target.agg(F.avg("sale_price").alias("mean_price"))
     both = sums.unpivot([], ["rows", "quantity"], "figure", "value")
-    return rounded(both.unionByName(mean.unpivot([], ["mean_price"], "figure", "value")), 4)
+    return rounded(both.unionByName(mean.unpivot([], ["mean_price"], "figure", "value")), 2)
 
 
 # ---- splitting ------------------------------------------------------------------
@@ -209,7 +212,7 @@ def load_and_split(spark, sf_dir):
         .withColumn("split", F.lit(name))
         for name, df in parts.items()
     ]
-    return rounded(frames[0].unionByName(frames[1]).unionByName(frames[2]), 4)
+    return rounded(frames[0].unionByName(frames[1]).unionByName(frames[2]), 4, mean_price=2)
 
 
 # ---- imputation -----------------------------------------------------------------
@@ -244,7 +247,7 @@ def impute_missing(spark, sf_dir):
 def target_encode_fit(spark, sf_dir):
     features = (*S.target_encoded, "product_group")
     rows = train_rows(split_sale(spark, sf_dir, *features, "sale_price"))
-    return rounded(encode.target_means(rows, features, "sale_price"), 4)
+    return rounded(encode.target_means(rows, features, "sale_price"), 2)
 
 
 @query
@@ -252,7 +255,7 @@ def target_encode_apply(spark, sf_dir):
     rows = stored_sale(spark, sf_dir, *KEYS, "class_desc", "model_desc", "product_group", "sale_price")
     fitted = encode.fit_target(
         train_rows(rows), ["class_desc", "model_desc", "product_group"], "sale_price")
-    return rounded(encode.apply_target(rows.drop("sale_price"), fitted), 4)
+    return rounded(encode.apply_target(rows.drop("sale_price"), fitted), 2)
 
 
 @query
@@ -290,6 +293,9 @@ def onehot_unknown(spark, sf_dir):
     return encode.apply_onehot(rows.drop("split"), fitted)
 
 
+TE_DIGITS = dict.fromkeys(S.target_encoded, 2)
+
+
 def fitted_preprocessor(spark, sf_dir):
     rows = workflow.prepare(sale(spark, sf_dir), S)
     parts = workflow.splits(rows)
@@ -299,13 +305,13 @@ def fitted_preprocessor(spark, sf_dir):
 @query
 def preprocess_train(spark, sf_dir):
     prep, parts = fitted_preprocessor(spark, sf_dir)
-    return rounded(prep.transform(parts["train"], is_train=True, keep=KEYS), 4)
+    return rounded(prep.transform(parts["train"], is_train=True, keep=KEYS), 6, **TE_DIGITS)
 
 
 @query
 def preprocess_test(spark, sf_dir):
     prep, parts = fitted_preprocessor(spark, sf_dir)
-    return rounded(prep.transform(parts["test"], keep=KEYS), 4)
+    return rounded(prep.transform(parts["test"], keep=KEYS), 6, **TE_DIGITS)
 
 
 # ---- evaluation -----------------------------------------------------------------
@@ -489,9 +495,7 @@ def gbt_stumps(spark, sf_dir):
 def model_rows(spark, sf_dir):
     """Assembled train and evaluation rows of the full preprocessing."""
     prep, parts = fitted_preprocessor(spark, sf_dir)
-    fit_rows = train.assemble(
-        prep.transform(parts["train"], is_train=True), prep.final_columns, S.log_target)
-    return fit_rows.persist(), workflow.evaluation_rows(prep, parts).persist(), prep
+    return workflow.training_rows(prep, parts).persist(), workflow.evaluation_rows(prep, parts).persist(), prep
 
 
 @query
@@ -553,10 +557,8 @@ def score(spark, sf_dir):
     rows = sale(spark, sf_dir).select(*KEYS, *TWO, "sale_price")
     parts = workflow.splits(workflow.prepare(rows, settings))
     prep = Preprocessor(settings).fit(parts["train"])
-    fit_rows = train.assemble(
-        prep.transform(parts["train"], is_train=True), prep.final_columns, settings.log_target)
     judged = workflow.evaluation_rows(prep, parts)
-    run = train.train_all(fit_rows, judged, prep.final_columns, "y", {"ridge": {"alpha": 1.0}})
+    run = train.train_all(workflow.training_rows(prep, parts), judged, prep.final_columns, "y", {"ridge": {"alpha": 1.0}})
     folder = runtime.scratch_path(spark, "score")
     artifacts.save_preprocessor(spark, prep, f"{folder}/preprocessor")
     artifacts.save_best(spark, run, f"{folder}/best_model")
@@ -598,12 +600,14 @@ def residual_summary(spark, sf_dir):
 
 @query
 def scatter(spark, sf_dir):
-    return rounded(plotdata.scatter(chosen(spark, sf_dir)), 5)
+    cells = plotdata.scatter(chosen(spark, sf_dir))
+    total = (F.col("mean_abs_error") * F.col("count")).alias("total_abs_error")
+    return rounded(cells.select("y_bin", "prediction_bin", "count", total), 4)
 
 
 @query
 def binned_trend(spark, sf_dir):
-    return rounded(plotdata.binned_trend(chosen(spark, sf_dir)), 4)
+    return rounded(plotdata.binned_trend(chosen(spark, sf_dir)), 2)
 
 
 @query

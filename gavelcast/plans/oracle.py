@@ -159,7 +159,7 @@ select l_orderkey, cast(0 as integer) as "Ripper_Yes", l_quantity,
 SQL["separate_target"] = WITH_SALE + """
 select 'rows' as figure, cast(count(*) as double) as value from sale
 union all select 'quantity', sum(l_quantity) from sale
-union all select 'mean_price', round(avg(sale_price), 4) from sale"""
+union all select 'mean_price', round(avg(sale_price), 2) from sale"""
 
 SQL["hash_split"] = WITH_SPLIT + f"select {K}, split from parted"
 
@@ -177,7 +177,7 @@ union all select {side('o_orderkey')}, count(*), 'hash' from orders group by 1""
 
 SQL["load_and_split"] = WITH_SPLIT + f"""
 select split, count(*) as rows, cast(sum("Is_Year_Placeholder") as bigint) as placeholders,
-       round(avg("Machine_Age"), 4) as mean_age, round(avg(sale_price), 4) as mean_price
+       round(avg("Machine_Age"), 4) as mean_age, round(avg(sale_price), 2) as mean_price
 from ({ENGINEERED}) group by split"""
 
 SQL["group_medians"] = WITH_SPLIT + median_rows(
@@ -196,7 +196,7 @@ select {K}, split, coalesce(product_group, 'Unknown') as product_group,
 from parted cross join am left join gm on product_group = gm.k"""
 
 SQL["target_encode_fit"] = WITH_SPLIT + " union all ".join(
-    f"select '{n}' as feature, {n} as level, round(avg(sale_price), 4) as mean, count(*) as n"
+    f"select '{n}' as feature, {n} as level, round(avg(sale_price), 2) as mean, count(*) as n"
     f" from parted where split = 'train' and {n} is not null group by {n}"
     for n in ("model_desc", "class_desc", "product_group"))
 
@@ -207,9 +207,9 @@ te2 as (select class_desc as k, avg(sale_price) as m from parted where split = '
 te3 as (select product_group as k, avg(sale_price) as m from parted where split = 'train' group by 1)"""
 
 SQL["target_encode_apply"] = WITH_SPLIT + f""", {ENCODINGS}
-select {K}, split, round(coalesce(te2.m, tm.m), 4) as class_desc,
-       round(coalesce(te1.m, tm.m), 4) as model_desc,
-       round(coalesce(te3.m, tm.m), 4) as product_group
+select {K}, split, round(coalesce(te2.m, tm.m), 2) as class_desc,
+       round(coalesce(te1.m, tm.m), 2) as model_desc,
+       round(coalesce(te3.m, tm.m), 2) as product_group
 from parted cross join tm left join te1 on model_desc = te1.k
      left join te2 on class_desc = te2.k left join te3 on product_group = te3.k"""
 
@@ -277,7 +277,7 @@ select {K}, l_quantity, l_discount, l_extendedprice, o_totalprice, {filled},
        cast("Is_Year_Placeholder" as double) as "Is_Year_Placeholder",
        coalesce("Digging_Depth_Ft", 0.0) as "Digging_Depth_Ft",
        cast("Has_Hours" as double) as "Has_Hours",
-       round(coalesce(te1.m, tm.m), 4) as model_desc, round(coalesce(te2.m, tm.m), 4) as class_desc,
+       round(coalesce(te1.m, tm.m), 2) as model_desc, round(coalesce(te2.m, tm.m), 2) as class_desc,
        {DUMMIES}, {targets}
 from e cross join am cross join tm left join gm on product_group = gm.k
      left join te1 on model_desc = te1.k left join te2 on class_desc = te2.k
@@ -285,8 +285,8 @@ where split = '{part}'"""
 
 
 SQL["preprocess_train"] = preprocessed("train", f"""
-       round({CLIPPED}, 4) as sale_price, round(ln(1 + {CLIPPED}), 4) as log_sale_price""")
-SQL["preprocess_test"] = preprocessed("test", "round(sale_price, 4) as sale_price")
+       round({CLIPPED}, 6) as sale_price, round(ln(1 + {CLIPPED}), 6) as log_sale_price""")
+SQL["preprocess_test"] = preprocessed("test", "round(sale_price, 6) as sale_price")
 
 SQL["residuals"] = WITH_PREDICTIONS + f"""
 select {K}, round(y, 6) as y, prediction, round(y - prediction, 6) as residual,
@@ -455,14 +455,14 @@ SQL["scatter"] = WITH_PREDICTIONS + """,
 span as (select 1.05 * greatest(max(y), max(prediction)) / 60 as w from chosen)
 select cast(least(floor(y / w), 59) as integer) as y_bin,
        cast(least(floor(prediction / w), 59) as integer) as prediction_bin,
-       count(*) as count, round(avg(abs(y - prediction)), 5) as mean_abs_error
+       count(*) as count, round(sum(abs(y - prediction)), 4) as total_abs_error
 from chosen cross join span group by 1, 2"""
 
 SQL["binned_trend"] = WITH_PREDICTIONS + """,
 span as (select min(prediction) as lo, (max(prediction) - min(prediction)) / 50 as w from chosen)
 select cast(least(floor((prediction - lo) / w), 49) as integer) as bin, count(*) as count,
-       round(avg(prediction), 4) as mean_prediction, round(avg(y - prediction), 4) as mean_residual,
-       round(stddev_pop(y - prediction), 4) as std_residual
+       round(avg(prediction), 2) as mean_prediction, round(avg(y - prediction), 2) as mean_residual,
+       round(stddev_pop(y - prediction), 2) as std_residual
 from chosen cross join span group by 1"""
 
 SQL["business_impact"] = WITH_PREDICTIONS + """,

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import c, log_target, to_original_scale
-from ..operators import evaluate, plotdata, train
+from ..operators import evaluate, plotdata, train, tune
 from ..operators.features import engineer
 from ..operators.preprocess import Preprocessor
 from ..operators.split import exact_split, hash_split
@@ -63,8 +63,7 @@ def run(
     prep = Preprocessor(s).fit(parts["train"])
     features = prep.final_columns
 
-    fit_rows = train.assemble(prep.transform(parts["train"], is_train=True), features, s.log_target)
-    fit_rows = fit_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    fit_rows = training_rows(prep, parts).persist(StorageLevel.MEMORY_AND_DISK)
     judged = evaluation_rows(prep, parts).persist(StorageLevel.MEMORY_AND_DISK)
     validation = judged.where(F.col("split") == "val")
 
@@ -89,6 +88,11 @@ def run(
     return result
 
 
+def training_rows(prep: Preprocessor, parts: dict[str, DataFrame]) -> DataFrame:
+    rows = prep.transform(parts["train"], is_train=True)
+    return train.assemble(rows, prep.final_columns, prep.settings.log_target)
+
+
 def evaluation_rows(prep: Preprocessor, parts: dict[str, DataFrame]) -> DataFrame:
     """Validation and test rows with the untouched target as ``y``."""
     s, features = prep.settings, prep.final_columns
@@ -104,11 +108,30 @@ def save(spark: SparkSession, outcome: Outcome, output: str) -> None:
     """Reports as CSV, model and preprocessor ready for scoring."""
     for split in ("val", "test"):
         board = evaluate.leaderboard(outcome.scores.where(F.col("split") == split))
-        csv.write_report(board.drop("split"), f"{output}/reports/{split}_evaluation")
+        board = board.drop("split").withColumnRenamed("model", "Model")
+        csv.write_report(board, f"{output}/reports/{split}_evaluation")
     artifacts.save_best(spark, outcome.run, f"{output}/best_model")
     artifacts.save_preprocessor(spark, outcome.preprocessor, f"{output}/preprocessor")
 
 
+def tune_boosting(
+    df: DataFrame, settings: Settings | None = None, output: str | None = None, **search
+) -> tuple[DataFrame, DataFrame]:
+    """Search boosting settings on the validation rows: all trials, and the best one."""
+    parts = splits(prepare(df, settings))
+    prep = Preprocessor(settings).fit(parts["train"])
+    fit_rows = training_rows(prep, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = evaluation_rows(prep, parts).where(F.col("split") == "val")
+    judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+    trials = tune.random_search(fit_rows, judged, prep.final_columns, **search)
+    best = tune.best_trial(trials)
+    if output:
+        artifacts.save_params(best, f"{output}/best_params")
+    fit_rows.unpersist()
+    judged.unpersist()
+    return trials, best
+
+
 def score(
     df: DataFrame, preprocessor_path: str, model_path: str, keep: Sequence[str] = (),
     column: str = "predicted_price",

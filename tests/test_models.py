@@ -96,7 +96,11 @@ def test_train_all_and_importance(spark, frames):
     assert set(results) == {"ridge", "boosted_trees"}
     assert all(r["train_seconds"] > 0 for r in results.values())
     assert run.best("MAE").key == min(results, key=lambda k: results[k]["MAE"])
-    linear = evaluate.feature_importance(spark, run.models["ridge"].model, names, 2).collect()
+    board = run.leaderboard("MAE").collect()
+    assert board[0]["MAE"] <= board[1]["MAE"]
+    assert {r["name"] for r in board} == {"Ridge Regression", "Boosted Trees"}
+    assert run.importance(spark, "forest") is None
+    linear = run.importance(spark, "ridge", 2).collect()
     assert linear[0]["feature"] == "c" and len(linear) == 2
     trees = evaluate.feature_importance(spark, run.models["boosted_trees"].model, names)
     assert trees.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)

@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -129,6 +130,22 @@ def test_scoring_from_disk(spark, outcome):
     assert alone == whole
 
 
+def test_reports_on_disk(spark, outcome):
+    output = outcome[2]
+    board = csv.read_sales(spark, f"{output}/reports/test_evaluation")
+    assert board.columns == ["Model", "MAE", "RMSE", "R2", "MAPE"]
+    assert [r["Model"] for r in board.collect()] == ["boosted_trees", "ridge"]
+
+
+def test_tuning(spark, outcome, tmp_path):
+    space = {"learning_rate": (0.1, 0.4, "log"), "max_depth": (2, 3, "int")}
+    trials, best = workflow.tune_boosting(
+        outcome[0], Settings(), str(tmp_path), n_trials=2, space=space, trees=3, patience=2)
+    assert trials.count() == 2
+    saved = artifacts.load_params(spark, f"{tmp_path}/best_params")
+    assert saved == json.loads(best.first()["params"]) and set(saved) == set(space)
+
+
 def test_load_and_split(spark, tmp_path):
     lines = "Sales ID,Sales Price\n" + "".join(f"{i},{i * 10}\n" for i in range(100))
     parts = workflow.load_and_split(spark, write(tmp_path, lines), exact=True)
