@@ -33,8 +33,9 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int = 6, **other_digits: int) -> DataFrame:
-    """Round doubles. Mean prices get 2 digits: prices have 3 decimals, so a mean that
-    ends in a rounding tie there is rare, while at 4 or 5 digits it is common."""
+    """Round doubles. Prices have 3 decimals, so a mean over few rows often ends in an
+    exact tie at 4 or 5 digits, which summation order would decide. Means per level get
+    2 digits; means per bin are reported as totals, which have no ties."""
     return df.select(*[
         F.round(c(f.name), other_digits.get(f.name, digits)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else c(f.name)
@@ -607,7 +608,10 @@ def scatter(spark, sf_dir):
 
 @query
 def binned_trend(spark, sf_dir):
-    return rounded(plotdata.binned_trend(chosen(spark, sf_dir)), 2)
+    bins = plotdata.binned_trend(chosen(spark, sf_dir))
+    totals = [(F.col(f"mean_{n}") * F.col("count")).alias(f"total_{n}")
+              for n in ("prediction", "residual")]
+    return rounded(bins.select("bin", "count", *totals, "std_residual"), 4)
 
 
 @query

@@ -461,8 +461,8 @@ from chosen cross join span group by 1, 2"""
 SQL["binned_trend"] = WITH_PREDICTIONS + """,
 span as (select min(prediction) as lo, (max(prediction) - min(prediction)) / 50 as w from chosen)
 select cast(least(floor((prediction - lo) / w), 49) as integer) as bin, count(*) as count,
-       round(avg(prediction), 2) as mean_prediction, round(avg(y - prediction), 2) as mean_residual,
-       round(stddev_pop(y - prediction), 2) as std_residual
+       round(sum(prediction), 4) as total_prediction, round(sum(y - prediction), 4) as total_residual,
+       round(stddev_pop(y - prediction), 4) as std_residual
 from chosen cross join span group by 1"""
 
 SQL["business_impact"] = WITH_PREDICTIONS + """,
@@ -477,8 +477,8 @@ select baseline, round(baseline_mae, 3) as baseline_mae, round(model_mae, 3) as
        round((baseline_mae - model_mae) * 10000, 3) as annual_savings
 from maes"""
 
-SQL["csv_source"] = WITH_SALE + f"""
-select {K}, round(sale_price, 6) as sale_price, class_desc, hours as hours_meter,
+SQL["csv_source"] = WITH_SALE + """
+select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, l_partkey, round(sale_price, 6) as sale_price, class_desc, hours as hours_meter,
        usage_band as "usage band", product_group as "product group",
        cast(year_made as double) as year from sale"""
 

@@ -95,13 +95,12 @@ def training_rows(prep: Preprocessor, parts: dict[str, DataFrame]) -> DataFrame:
 
 def evaluation_rows(prep: Preprocessor, parts: dict[str, DataFrame]) -> DataFrame:
     """Validation and test rows with the untouched target as ``y``."""
-    s, features = prep.settings, prep.final_columns
-    frames = []
-    for name in ("val", "test"):
-        rows = prep.transform(parts[name]).withColumn("__log", log_target(c(s.target)))
-        rows = rows.withColumn("split", F.lit(name)).withColumn("y", c(s.target).cast("double"))
-        frames.append(train.assemble(rows, features, "__log", ["y", "split"]))
-    return frames[0].unionByName(frames[1])
+    s = prep.settings
+    sides = [parts[name].withColumn("split", F.lit(name)) for name in ("val", "test")]
+    rows = prep.transform(sides[0].unionByName(sides[1]), keep=["split"])
+    rows = rows.withColumn("__log", log_target(c(s.target)))
+    y = c(s.target).cast("double").alias("y")
+    return train.assemble(rows, prep.final_columns, "__log", [y, "split"])
 
 
 def save(spark: SparkSession, outcome: Outcome, output: str) -> None:

@@ -33,9 +33,16 @@ def canonical(columns, rows):
     return sorted(columns), sorted(cells, key=lambda r: [(v is None, str(type(v) is str), v if v is not None else 0) for v in r])
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def compare(spark, db, sf_dir, fn, sql):
     """None if equal, else a short description of the difference."""
     df = fn(spark, sf_dir)
+    types = {d[0]: d[1] for d in db.execute(f"describe {sql}").fetchall()}
+    other = {n: (t, types.get(n)) for n, t in df.dtypes if TYPES.get(t) != types.get(n)}
+    if other:
+        return f"types {other}"
     got = canonical(df.columns, [tuple(r) for r in df.collect()])
     cursor = db.execute(sql)
     want = canonical([d[0] for d in cursor.description], cursor.fetchall())
