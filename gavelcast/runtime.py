@@ -9,6 +9,7 @@ short, and the planner sees real sizes when it decides whether to broadcast.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -17,8 +18,16 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own_dirs: dict[str, tempfile.TemporaryDirectory] = {}
+_own_dirs_lock = threading.Lock()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder reachable by every executor, as configured in the session."""
+    """Folder reachable by every executor, as configured in the session.
+
+    Without a setting a local session gets a temporary folder of its own, which goes when
+    Python ends; a cluster has to name one.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
@@ -27,9 +36,12 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="gavelcast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    with _own_dirs_lock:
+        if application not in _own_dirs:
+            _own_dirs[application] = tempfile.TemporaryDirectory(
+                prefix="gavelcast-", ignore_cleanup_errors=True)
+        return _own_dirs[application].name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

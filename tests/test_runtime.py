@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pytest
@@ -8,8 +11,9 @@ from gavelcast import runtime
 
 def fake_session(master, configured=None, current=None):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: configured, set=lambda key, value: None),
-        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: current))
+        conf=SimpleNamespace(get=lambda key, default: configured),
+        sparkContext=SimpleNamespace(
+            master=master, getCheckpointDir=lambda: current, applicationId="app-1"))
 
 
 def test_shared_folder_comes_from_the_session():
@@ -20,7 +24,23 @@ def test_shared_folder_comes_from_the_session():
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         runtime.shared_dir(fake_session("spark://host:7077"))
-    assert runtime.shared_dir(fake_session("local[2]"))
+    own = runtime.shared_dir(fake_session("local[2]"))
+    assert own and own == runtime.shared_dir(fake_session("local[2]"))
+
+
+def test_a_plain_local_session_can_store(tmp_path):
+    """A real session, in its own process, that has no spark.checkpoint.dir."""
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from gavelcast import runtime\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "assert runtime.materialize(spark.range(3), 't').count() == 3\n"
+        "print(runtime.shared_dir(spark))\n")
+    env = dict(os.environ, SPARK_CONF_DIR=str(tmp_path), PYTHONPATH=os.getcwd())
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert not os.path.exists(done.stdout.split()[-1])
 
 
 def test_materialized_table_is_a_fresh_scan(spark):
