@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import pieces, quality_rules, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,8 +22,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.quality(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "class_distance", "word_distance", "kept")
+
+
+# Decided rules (verdict, host and beginning of the path).
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+@query
+def op2_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES)).drop("url")
+
+
+def _fits(rule: str) -> str:
+    host, slash, path = rule.partition("/")
+    return f"(host = '{host}' or host like '%.{host}') and starts_with(path, '{slash}{path}')"
+
+
+SQL["op2_url_filter"] = f"""
+with parts as (
+  select page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') as path
+  from pages)
+select page_id, host, path, rule,
+       case {" ".join(f"when rule = '{r}' then '{v}'" for v, r in URL_RULES)} else 'allow' end as verdict
+from (select *, case {" ".join(f"when {_fits(r)} then '{r}'" for v, r in sorted(URL_RULES, key=lambda x: -len(x[1])))}
+      end as rule from parts)
+"""
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.counted(documents, tokenizer("piece_bpe_32k.model")).drop("text")
+
+
+@query
+def op6_pieces(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encoded(documents, tokenizer("piece_bpe_32k.model")).drop("text")

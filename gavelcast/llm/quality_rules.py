@@ -21,12 +21,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import c
 from ..runtime import materialize
 
-# Frequent function words of each language.
+# The most frequent function words of each language.
 COMMON_WORDS = {
-    "en": "the of and to in a is that it for on was as be with by this are at an from or".split(),
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es".split(),
-    "fr": "de la le et les des en un du une que est pour qui dans a par sur au avec il ce".split(),
-    "es": "de la que el en y a los se del las un por con no una su para es al lo como".split(),
+    "en": "the of and to in a is that it for".split(),
+    "de": "der die und in den von zu das mit sich".split(),
+    "fr": "de la le et les des en un du une".split(),
+    "es": "de la que el en y a los se del".split(),
 }
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -51,6 +51,11 @@ def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
+def _joined(hashes: str, width: int) -> Column:
+    """Each hash combined with the one ``width`` places on."""
+    return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + width)))
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the columns ``BASE``, ``base_failed``, ``class_counts`` and ``common_counts``."""
     kept = [name for name in docs.columns if name not in (*BASE, "base_failed", "class_counts", "common_counts")]
@@ -61,19 +66,20 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     step = docs.select(*[c(name) for name in kept], body.alias("_text"))
     step = step.select(
         "*", F.regexp_replace("_text", "[a-z]+", "").alias("_rest"),
-        F.array_remove(F.split(F.translate("_text", BLANKS, " " * len(BLANKS)), " "), "").alias("_words"),
-        F.array_remove(F.split(F.lower(F.translate("_text", BLANKS, " " * len(BLANKS))), " "), "").alias("_lower"),
+        F.array_remove(F.split("_text", "[ \\t-\\r]+"), "").alias("_words"),
         F.filter(F.split("_text", "\n"), lambda line: line.rlike("[^ \\t-\\r]")).alias("_lines"))
     step = step.select(
         "*", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
         F.size("_words").cast("long").alias("n_words"), F.length("_text").alias("_chars"),
         _without(F.col("_rest"), BLANKS).alias("_solid"),
         F.concat(F.lit(" "), F.array_join(
-            F.filter("_lower", lambda w: w.isin(vocabulary)), "  "), F.lit(" ")).alias("_common"))
+            F.filter("_words", lambda w: w.isin(vocabulary)), "  "), F.lit(" ")).alias("_common"))
+    # Hashes of 2, 4 and 8 neighbours; past the end a neighbour is missing, and those runs are cut off.
+    for width in (1, 2, 4):
+        step = step.withColumn("_hashes", _joined("_hashes", width))
     step = step.select(
-        "*", F.when(F.col("n_words") > WINDOW, F.transform(
-            F.sequence(F.lit(1), F.size("_hashes") - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice("_hashes", i, WINDOW)))).alias("_runs"),
+        "*", F.when(F.col("n_words") > WINDOW, F.slice(
+            "_hashes", F.lit(1), F.size("_hashes") - (WINDOW - 1))).alias("_runs"),
         F.regexp_replace("_solid", "[A-Z]+", "").alias("_odd"))
     step = step.select(
         "*", F.when(F.size(F.array_distinct("_runs")) < F.size("_runs"), F.sort_array(F.transform(
