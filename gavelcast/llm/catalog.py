@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import pieces, quality_rules, token_counts, url_filter
+from .. import runtime
+from . import pieces, quality_rules, token_counts, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,3 +75,25 @@ def op4_token_counts(spark, sf_dir):
 def op6_pieces(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encoded(documents, tokenizer("piece_bpe_32k.model")).drop("text")
+
+
+@query
+def op8_warc(spark, sf_dir):
+    path = runtime.scratch_path(spark, "archives")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.payloads(warc.read(spark, path))
+    return found.select(
+        F.col("page").cast("long").alias("page_id"), F.col("payload_bytes").cast("long").alias("payload_bytes"),
+        "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+SQL["op8_warc"] = """
+with p as (select page_id, coalesce(html, '') as body from pages),
+     d as (select page_id, strlen(body) as payload_bytes, sha256(body) as payload_digest from p),
+     o as (select *, case when payload_bytes >= 100
+                          then min(page_id) over (partition by payload_digest, payload_bytes) end as original from d)
+select page_id, payload_bytes, payload_digest,
+       case when original is not null and original <> page_id then 'revisit' else 'response' end as record_type,
+       case when original is not null and original <> page_id then original end as refers_to
+from o
+"""
