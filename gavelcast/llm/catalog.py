@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import runtime
-from . import pieces, quality_rules, token_counts, url_filter, warc
+from . import ngram_join, pieces, quality_rules, token_counts, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,9 @@ select page_id, payload_bytes, payload_digest,
        case when original is not null and original <> page_id then original end as refers_to
 from o
 """
+
+
+@query
+def op1_ngram_join(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.groups(documents).withColumnRenamed("id", "doc_id")
