@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import runtime
-from . import ngram_join, pieces, quality_rules, token_counts, url_filter, warc
+from . import decontaminate, ngram_join, passages, pieces, quality_model, quality_rules, token_counts, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +103,19 @@ from o
 def op1_ngram_join(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.groups(documents).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_quality_model(spark, sf_dir):
+    return quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+
+
+@query
+def op3_passages(spark, sf_dir):
+    return passages.marked(table(spark, sf_dir, "documents"))
