@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import runtime
-from . import decontaminate, ngram_join, passages, pieces, quality_model, quality_rules, token_counts, url_filter, warc
+from . import decontaminate, ngram_join, passages, pieces, quality_model, quality_rules, secret_scan, token_counts, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +119,15 @@ def op7_decontaminate(spark, sf_dir):
 @query
 def op3_passages(spark, sf_dir):
     return passages.marked(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_secret_scan(spark, sf_dir):
+    return secret_scan.scanned(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -253,9 +253,23 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
         "id", "n_shingles", F.coalesce("smallest", "id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the rows that a row of smaller id is linked with; repeated rows of the kept id go too."""
-    found = groups(docs, key, text, width, percent).where(
-        F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id"), "n_shingles").distinct()
-    kept = docs.join(materialize(found.select("_id").distinct(), "kept"), c(key).eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(docs.columns)
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
+                broadcast_ids: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows that a row of smaller id is linked with. Of rows that repeat a kept id in its group one stays.
+
+    The ids that go are few beside the texts and are broadcast up to ``broadcast_ids`` of them, counted first, so the texts are not shuffled.
+    """
+    found = groups(docs, key, text, width, percent)
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    per_id = materialize(found.groupBy("id").agg(
+        F.sum(kept.cast("int")).alias("n_kept"), F.max("n_shingles").alias("filled")).where(
+        "(n_kept = 0 or n_kept > 1) and id is not null"), "dropped")
+    gone = per_id.where("n_kept = 0").select(F.col("id").alias("__gone"))
+    out = docs.join(F.broadcast(gone) if gone.count() <= broadcast_ids else gone, c(key) == F.col("__gone"), "left_anti")
+    twice = per_id.where("n_kept > 1 and filled > 0").select(F.col("id").alias("__twice"))
+    if twice.isEmpty():
+        return out
+    # Repeated ids are rare: only their rows are brought together.
+    small = F.broadcast(twice) if twice.count() <= broadcast_ids else twice
+    return out.join(small, c(key) == F.col("__twice"), "left_anti").unionByName(
+        out.join(small, c(key) == F.col("__twice"), "left_semi").dropDuplicates([key]))

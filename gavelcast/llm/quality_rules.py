@@ -190,3 +190,11 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list
     first = judge(stored, references(stored, lang), limits).where("kept")
     judged = judge(stored, references(first, lang), limits)
     return judged if lang in carry else judged.drop(lang)
+
+
+def clean(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
+    ours = (*BASE, "base_failed", "class_counts", "common_counts", "class_distance", "word_distance", "kept")
+    aside = {name: f"_own_{name}" for name in docs.columns if name in ours}
+    found = quality(docs.withColumnsRenamed(aside), text, lang, limits=limits).where("kept").drop(*ours)
+    return found.withColumnsRenamed({v: k for k, v in aside.items()}).select(*[c(name) for name in docs.columns])
