@@ -130,10 +130,9 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     # A word may hold several candidates; each has the rest of the word and the neighbours beside it.
     found = found.select("id", "text_hash", "x.*").distinct().select(
         "*", F.explode(F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), 1)).alias("candidate"))
-    at = F.locate(F.col("candidate"), F.col("word"))
     return found.select(
         "id", "text_hash", "place", F.concat("left", F.expr("substring(word, 1, locate(candidate, word) - 1)")).alias("before"), "candidate",
-        F.concat(F.expr("substring(word, locate(candidate, word) + length(candidate))"), F.lit(" "), "right").alias("after")).where(at > 0)
+        F.concat(F.expr("substring(word, locate(candidate, word) + length(candidate))"), F.lit(" "), "right").alias("after"))
 
 
 def judged(found: DataFrame, model: PipelineModel) -> DataFrame:

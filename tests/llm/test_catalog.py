@@ -1,0 +1,19 @@
+import pytest
+
+import __spark_entry__ as contract
+from gavelcast.llm import catalog
+
+from ..oracle_check import compare, connect
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_one_query_per_operator_and_the_pipeline():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES if name != "pipeline")
+    assert numbers == list(range(1, 11))
+    assert set(catalog.QUERIES) <= set(contract.queries()) and set(catalog.SQL) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(catalog.SQL))
+def test_equals_sql(spark, name):
+    assert compare(spark, connect(SMALL), SMALL, catalog.QUERIES[name], catalog.SQL[name]) is None

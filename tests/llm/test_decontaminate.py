@@ -1,0 +1,65 @@
+import random
+
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from gavelcast.llm import decontaminate as d
+
+from . import plain
+
+
+def test_tiles_equal_greedy_search():
+    rng = random.Random(1)
+    for _ in range(150):
+        letters = [chr(97 + i) for i in range(rng.choice([2, 3, 26]))]
+        item = [rng.choice(letters) for _ in range(rng.randint(1, 25))]
+        doc = [rng.choice(letters) for _ in range(rng.randint(0, 30))]
+        if rng.random() < 0.6 and len(item) > 6:
+            k = rng.randint(2, len(item) - 2)
+            doc = doc[:5] + item[k:] + doc[5:9] + item[:k]
+        least = rng.choice([2, 3, 5])
+        pairs = [(i, j) for i in range(len(item) - least + 1) for j in range(len(doc) - least + 1)
+                 if item[i:i + least] == doc[j:j + least]]
+        want = plain.greedy_tiles(doc, item, least)
+        assert d.tiles(d.maximal(pairs, least), len(item), len(doc), least) == want
+        words, _ = d.word_hashes(pa.array([" ".join(item)]), d.ALNUM)
+        got = list(d.scan(d.Items([7], [words], least), pa.array([" ".join(doc), None])))
+        share = sum(n for _, _, n in want) / len(item)
+        if len(item) >= least:
+            assert got == [[(7, share, len(want))] if share >= 0.8 else [], []]
+
+
+BENCH = [(1, "The quick brown fox jumps over the lazy dog, again and again and again."), (2, "alpha beta gamma delta epsilon zeta eta theta"),
+         (3, "tiny one"), (4, None), (5, ""), (6, "alpha beta gamma delta epsilon zeta eta theta"), (None, "no id here to be found at all")]
+DOCS = [(1, "x y z THE QUICK, BROWN FOX jumps over the lazy dog again and again! and again q"), (2, "zeta eta theta"), (3, "epsilon zeta eta theta iota alpha beta gamma delta"),
+        (4, "a tiny one b"), (5, None), (6, ""), (7, "again and again and again " * 3000), (7, "alpha beta gamma delta epsilon zeta eta theta"), (8, "no id here to be found at all")]
+
+
+def test_cases(spark):
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string").withColumns({"items": F.lit(0), "item": F.lit(1)})
+    got = sorted((r["doc_id"], r["items"]) for r in d.contaminated(docs, bench).collect())
+    assert got == [(1, [1]), (2, []), (3, []), (4, [3]), (5, []), (6, []), (7, []), (7, [2, 6]), (8, [])]
+    kept = d.clean(docs, bench)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 5, 6, 7, 8]
+    blocks = d.contaminated(docs, bench, block_words=10)
+    assert sorted((r["doc_id"], r["items"]) for r in blocks.collect()) == got
+    assert d.contaminated(docs, bench.where("false")).where("contaminated").isEmpty()
+    assert d.contaminated(docs.where("false"), bench).isEmpty()
+
+
+def test_rearranged_sentences_are_found(spark):
+    bench = spark.createDataFrame([(1, "one two three four five six. seven eight nine ten eleven twelve")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so: seven eight nine ten eleven twelve and one two three four five six")], "doc_id long, text string")
+    row = d.contaminated(docs, bench).first()
+    assert row["contaminated"] and row["coverage"] == 1.0 and row["n_tiles"] == 2
+
+
+def test_the_test_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    got = {(r["doc_id"], i) for r in d.contaminated(docs, bench).collect() for i in r["items"]}
+    for r in docs.collect():
+        for b in bench.collect():
+            if b["text"] in r["text"]:
+                assert (r["doc_id"], b["item_id"]) in got
