@@ -18,6 +18,8 @@ def main() -> None:
         command = commands.add_parser(name, help=text)
         command.add_argument("sales", help="CSV file or folder")
         command.add_argument("output", help="folder of reports and models")
+        if name != "score":
+            command.add_argument("--exact", action="store_true", help="splits of exact sizes")
         if name == "tune":
             command.add_argument("--trials", type=int, default=50)
         if name == "score":
@@ -28,12 +30,12 @@ def main() -> None:
     spark = SparkSession.builder.appName("gavelcast").getOrCreate()
     sales = csv.read_sales(spark, args.sales)
     if args.command == "run":
-        outcome = workflow.run(sales, output=args.output, with_tables=False)
+        outcome = workflow.run(sales, output=args.output, exact=args.exact)
         outcome.scores.show(truncate=False)
         outcome.segments.show(truncate=False)
         outcome.summary.show(truncate=False)
     elif args.command == "tune":
-        _, best = workflow.tune_boosting(sales, output=args.output, n_trials=args.trials)
+        _, best = workflow.tune_boosting(sales, output=args.output, exact=args.exact, n_trials=args.trials)
         best.show(truncate=False)
     else:
         scored = workflow.score(

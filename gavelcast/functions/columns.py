@@ -13,9 +13,15 @@ def c(name: str) -> Column:
 
 
 def level_text(df: DataFrame, name: str) -> Column:
-    """A column's values as category names; 3 and 3.0 are the same category."""
-    if isinstance(df.schema[name].dataType, T.NumericType):
-        return c(name).cast("double").cast("string")
+    """A column's values as category names; 3 and 3.0 are the same category.
+
+    A fractional number that is whole is named like the whole number, so big keys stay apart.
+    """
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+        number = c(name).cast("double")
+        whole = (number == F.floor(number)) & (F.abs(number) < 2.0 ** 53)
+        return F.when(whole, number.cast("long").cast("string")).otherwise(c(name).cast("string"))
     return c(name).cast("string")
 
 
@@ -77,6 +83,13 @@ def nan_to_null(column: Column) -> Column:
     return F.when(~F.isnan(column), column)
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN in number columns becomes missing, as the CSV reader does it; other tables may hold some."""
+    return df.select(*[
+        nan_to_null(c(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else c(f.name)
+        for f in df.schema.fields])
+
+
 def residual(actual: Column, predicted: Column) -> Column:
     return actual - predicted
 

@@ -9,14 +9,14 @@ found in its bin, so repeated values and far outliers end the search early
 instead of prolonging it. Once the ranges hold few enough rows, their values are
 counted and ranked. The result equals a full sort.
 
-Several columns share each pass, told apart by a column number. An input that a
-single task could hold entirely, counted over all groups and columns, is left to
-``percentile``.
+Several columns share each pass, told apart by a column number. The rows are never
+shuffled to meet the ranges: those are broadcast, as long as there are no more than
+``BROADCAST_RANGES`` of them, which is known because they are stored first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,8 +26,8 @@ from .columns import c
 # Rows one range may hand to the final ranking.
 FINAL_ROWS = 1_000_000
 BINS = 1024
-# Values of an input, in all, that ``percentile`` may hold.
-HELD_VALUES = 1_000_000
+# Ranges, four numbers and a key each, that may be broadcast.
+BROADCAST_RANGES = 200_000
 
 
 def quantiles(
@@ -37,7 +37,6 @@ def quantiles(
     by: Column | None = None,
     final_rows: int = FINAL_ROWS,
     bins: int = BINS,
-    held_values: int = HELD_VALUES,
 ) -> DataFrame:
     """Interpolated quantiles per column and group: ``(feature, [key,] prob, quantile, n)``.
 
@@ -48,8 +47,6 @@ def quantiles(
     names = F.array(*[F.lit(name) for name in columns])
     output = [F.element_at(names, F.col("id") + 1).alias("feature"), *search.keys[1:],
               "prob", "quantile", "n"]
-    if search.held <= held_values:
-        return search.percentiles(probs).select(*output)
     position = F.col("prob") * (F.col("n") - 1)
     targets = (
         search.totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
@@ -67,12 +64,15 @@ def quantiles(
 def values_at_ranks(
     df: DataFrame,
     column: str,
-    ranks: Sequence[int],
+    ranks: Callable[[int], Sequence[int]],
     final_rows: int = FINAL_ROWS,
     bins: int = BINS,
 ) -> dict[int, float]:
-    """Values at zero-based ranks of a whole column, as driver scalars."""
+    """Values at zero-based ranks of a whole column, as driver scalars; ``ranks`` gets the number of values."""
     search = _Search(df, [column], None, final_rows, bins)
+    ranks = ranks(search.held)
+    if not search.held or not ranks:
+        return {}
     wanted = F.array(*[F.lit(int(r)).cast("long") for r in sorted(set(ranks))])
     targets = search.totals.withColumn("rank", F.explode(wanted)).withColumn("wanted", F.col("rank"))
     found = search.select(targets, ["wanted"])
@@ -115,7 +115,6 @@ class _Search:
             for i in range(len(columns))
         ]
         totals = measured.select(*group, F.inline(F.array(*per_column))).where(F.col("n") > 0)
-        self.wide, self.width = wide, len(columns)
         self.totals = materialize(totals, "totals") if group else self._local(totals)
         size = self.totals.agg(F.sum("n").alias("held"), F.max("n").alias("largest")).first()
         self.held, self.largest = size["held"] or 0, size["largest"] or 0
@@ -125,20 +124,6 @@ class _Search:
         """One row per column: cheaper as a literal table than as a file."""
         return totals.sparkSession.createDataFrame(totals.collect(), totals.schema)
 
-    def percentiles(self, probs: Sequence[float]) -> DataFrame:
-        """``(*keys, prob, quantile, n)`` by the built-in aggregate."""
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        found = self.wide.groupBy(*self.keys[1:]).agg(
-            *[F.percentile(f"v{i}", wanted).alias(f"q{i}") for i in range(self.width)],
-            *[F.count(f"v{i}").alias(f"n{i}") for i in range(self.width)])
-        cells = [
-            F.struct(F.lit(i).alias("id"), F.lit(float(p)).alias("prob"),
-                     F.col(f"q{i}")[k].alias("quantile"), F.col(f"n{i}").alias("n"))
-            for i in range(self.width) for k, p in enumerate(probs)
-        ]
-        long = found.select(*self.keys[1:], F.inline(F.array(*cells)))
-        return long.where(F.col("quantile").isNotNull())
-
     def select(self, targets: DataFrame, extra: Sequence[str]) -> DataFrame:
         """``(*keys, *extra, value)`` for each target's zero-based ``rank`` within its group."""
         keys = self.keys
@@ -154,7 +139,8 @@ class _Search:
         return self._rank(targets, extra, narrowed)
 
     def _inside(self, ranges: DataFrame) -> DataFrame:
-        matched = self.rows.join(ranges, self.keys, "inner")
+        small = self.keys == ["id"] or ranges.count() <= BROADCAST_RANGES
+        matched = self.rows.join(F.broadcast(ranges) if small else ranges, self.keys, "inner")
         return matched.where(F.col("value").between(F.col("lo"), F.col("hi")))
 
     def _narrow(self, targets: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.columns import absolute_error, percent_error, residual, to_orig
 from ..functions.quantiles import FINAL_ROWS, quantiles
 from ..params import MODEL_METRIC, PRICE_SEGMENTS
 
-HIGHER_IS_BETTER = ("R2", "Accuracy")
+HIGHER_IS_BETTER = ("R2",)
 ERROR_COLUMNS = ("MAE", "RMSE", "R2", "MAPE")
 
 

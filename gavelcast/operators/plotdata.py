@@ -24,12 +24,13 @@ def _present(df: DataFrame, column: str) -> DataFrame:
 
 
 def bin_index(value: Column, low: float, high: float, bins: int) -> Column:
-    """Equal-width bin number; the last bin includes its upper end."""
+    """Equal-width bin number; the last bin includes its upper end. Values outside count in the end bins."""
     if high <= low:
         # A constant column gets a unit-wide range around its value.
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
-    return F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    number = F.floor((value - F.lit(low)) / F.lit(width))
+    return F.greatest(F.least(number, F.lit(bins - 1)), F.lit(0)).cast("int")
 
 
 def histogram(df: DataFrame, column: str, bins: int = PRICE_BINS) -> DataFrame:
@@ -57,17 +58,15 @@ def histogram(df: DataFrame, column: str, bins: int = PRICE_BINS) -> DataFrame:
 
 
 def kde(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataFrame:
-    """Gaussian density on an even grid, Scott bandwidth: ``(point, x, density)``.
+    """Gaussian density on an even grid, Scott bandwidth: ``(point, x, density)`` for every point.
 
-    Equal values are merged first where that pays. Each value then adds only to the
-    grid points its kernel reaches; the rest would add an exact zero. Partial sums
-    per grid point leave at most ``points`` rows per task for the shuffle. As the
-    bandwidth shrinks with more rows, so does the reach.
+    Equal values are merged first. Each value then adds only to the grid points its
+    kernel reaches; the rest would add an exact zero. Partial sums per grid point leave
+    at most ``points`` rows per task for the shuffle.
     """
     values = _present(df, column)
     s = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"),
-                   F.stddev_samp("x").alias("sd"),
-                   F.approx_count_distinct("x").alias("distinct")).first()
+                   F.stddev_samp("x").alias("sd")).first()
     if s["n"] < 2 or not s["sd"]:
         raise ValueError("a density needs at least two different values")
     low, n = s["lo"], s["n"]
@@ -80,15 +79,16 @@ def kde(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataFrame:
     last = F.least(F.lit(points - 1), F.floor((offset + F.lit(reach)) / F.lit(step)))
     z = (F.lit(low) + F.col("point") * F.lit(step) - F.col("x")) / F.lit(width)
     scale = n * width * (2 * 3.141592653589793) ** 0.5
-    if s["distinct"] * 2 < n:
-        weighted = values.groupBy("x").agg(F.count("x").alias("copies"))
-    else:
-        weighted = values.withColumn("copies", F.lit(1))
-    spread = weighted.select("x", "copies", F.explode(F.sequence(first, last)).alias("point"))
-    return spread.groupBy("point").agg(
-        (F.sum(F.col("copies") * F.exp(z * z * F.lit(-0.5))) / F.lit(scale)).alias("density")
-    ).select(F.col("point").cast("int").alias("point"),
-             (F.lit(low) + F.col("point") * F.lit(step)).alias("x"), "density")
+    weighted = values.groupBy("x").agg(F.count("x").alias("copies"))
+    # Between two points of a coarse grid a narrow kernel reaches none.
+    reached = F.when(first <= last, F.sequence(first, last, F.lit(1).cast("long")))
+    spread = weighted.select("x", "copies", F.explode(reached).alias("point"))
+    density = spread.groupBy("point").agg(
+        (F.sum(F.col("copies") * F.exp(z * z * F.lit(-0.5))) / F.lit(scale)).alias("density"))
+    grid = df.sparkSession.range(points).select(F.col("id").alias("point"))
+    return grid.join(density, "point", "left").select(
+        F.col("point").cast("int").alias("point"), (F.lit(low) + F.col("point") * F.lit(step)).alias("x"),
+        F.coalesce("density", F.lit(0.0)).alias("density"))
 
 
 def summary(df: DataFrame, column: str, final_rows: int = FINAL_ROWS) -> DataFrame:
@@ -127,14 +127,16 @@ def _span(df: DataFrame, *columns: str) -> dict[str, tuple[float, float]]:
 def scatter(df: DataFrame, bins: int = 60, y: str = "y", prediction: str = "prediction") -> DataFrame:
     """Actual against predicted as 2-D bin counts with the mean error of each bin.
 
-    Both axes share the range 0 to 5 % above the largest value, so the ideal line
-    is the diagonal. Every row is counted.
+    Both axes share one range, so the ideal line is the diagonal: from 0, or from 5 % below
+    the smallest value if that is negative, to 5 % above the largest, or to 0. Every row is counted.
     """
-    top = 1.05 * max(high for _, high in _span(df, y, prediction).values())
+    spans = _span(df, y, prediction).values()
+    bottom = min(0.0, 1.05 * min(low for low, _ in spans))
+    top = max(0.0, 1.05 * max(high for _, high in spans))
     actual, predicted = F.col(y).cast("double"), F.col(prediction).cast("double")
     return df.groupBy(
-        bin_index(actual, 0.0, top, bins).alias("y_bin"),
-        bin_index(predicted, 0.0, top, bins).alias("prediction_bin"),
+        bin_index(actual, bottom, top, bins).alias("y_bin"),
+        bin_index(predicted, bottom, top, bins).alias("prediction_bin"),
     ).agg(F.count(F.lit(1)).alias("count"), F.avg(F.abs(actual - predicted)).alias("mean_abs_error"))
 
 

@@ -55,15 +55,19 @@ def exact_split(df: DataFrame, key, ratios=SPLIT_RATIOS, seed: int = SEED) -> Da
     rows themselves are neither sorted nor shuffled.
     """
     hashed = df.select(unit_hash(key, seed).alias("h"))
-    n = df.count()
-    train, validation, _ = split_sizes(n, ratios)
-    ends = [train - 1, train + validation - 1]
-    cuts = values_at_ranks(hashed, "h", [max(r, 0) for r in ends]) if n else {}
-    first, second = [cuts[r] if r >= 0 else -1.0 for r in ends] if n else (-1.0, -1.0)
+    ends = []
+
+    def ranks(n):
+        train, validation, _ = split_sizes(n, ratios)
+        ends.extend((train - 1, train + validation - 1))
+        return [max(r, 0) for r in ends] if n else []
+
+    cuts = values_at_ranks(hashed, "h", ranks)
+    first, second = [cuts[r] if r >= 0 else -1.0 for r in ends]
 
     below = hashed.agg(
         F.count_if(F.col("h") <= first).alias("a"), F.count_if(F.col("h") <= second).alias("b")
     ).first()
-    if (below["a"], below["b"]) != (train, train + validation):
+    if (below["a"], below["b"]) != (ends[0] + 1, ends[1] + 1):
         raise ValueError(f"split key {key!r} repeats at a cut; use a unique key or another seed")
     return df.withColumn("split", _side(unit_hash(key, seed), first, second, inclusive=True))

@@ -15,19 +15,20 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..params import BOOSTING_PARAMS, PATIENCE, RIDGE_PARAMS, SEED
+from ..runtime import checkpoints
 from . import evaluate
 
 FEATURES = "features"
 LABEL = "label"
-# Rounds of the first boosting run; doubled until early stopping or the cap ends it.
-FIRST_ROUNDS = 64
+# Settings of leaf-wise or penalised trees, which MLlib's level-wise trees do not have.
+UNSUPPORTED = ("reg_alpha", "reg_lambda", "num_leaves")
+DEEPEST = 30
 
-UNSUPPORTED = ("reg_alpha", "reg_lambda")
-
-# Published settings without the two leaf penalties, and with a round cap that
-# suits MLlib's full passes per tree level.
+# Published settings as far as MLlib has them. A level-wise tree of at most 137 leaves is
+# one of depth 7, so the published depth of 15, which the leaves bound there, becomes 7.
 BOOSTING_DEFAULTS = {
-    **{k: v for k, v in BOOSTING_PARAMS.items() if k not in UNSUPPORTED}, "n_estimators": 64,
+    **{k: v for k, v in BOOSTING_PARAMS.items() if k not in UNSUPPORTED},
+    "max_depth": int(math.log2(BOOSTING_PARAMS["num_leaves"])), "max_bins": 64,
 }
 
 
@@ -41,6 +42,7 @@ class Fitted:
     seconds: float = 0.0
     curve: DataFrame | None = None
     best_iteration: int | None = None
+    stopped_early: bool = False
 
     def predict(self, df: DataFrame, column: str) -> DataFrame:
         """Add the log-scale prediction to rows that carry the assembled features."""
@@ -84,28 +86,26 @@ def boosting_arguments(params: dict) -> dict:
     """MLlib arguments from boosting settings.
 
     MLlib fits each tree to the gradient of the squared error, twice the residual,
-    so half the learning rate takes the same step. A tree limited to L leaves is
-    given the depth at which it can have at most L. Settings without a counterpart
-    raise instead of being ignored.
+    so half the learning rate takes the same step. Settings without a counterpart and
+    depths beyond MLlib's limit raise instead of being ignored or changed.
     """
-    params = dict(params)
+    params = {k: v for k, v in params.items() if v is not None}
     for name in UNSUPPORTED:
-        if params.pop(name, 0.0):
+        if params.pop(name, 0):
             raise ValueError(f"{name} has no counterpart in MLlib boosting")
     depth = params.pop("max_depth", 5)
-    leaves = params.pop("num_leaves", None)
-    if leaves is not None:
-        depth = max(1, min(depth, int(math.log2(leaves))))
+    if not 1 <= depth <= DEEPEST:
+        raise ValueError(f"max_depth must lie between 1 and {DEEPEST}")
     columns = params.pop("colsample_bytree", 1.0)
     out = {
         "maxIter": params.pop("n_estimators", 20),
         "stepSize": params.pop("learning_rate", 0.1) / 2,
-        "maxDepth": min(depth, 30),
+        "maxDepth": depth,
         "minInstancesPerNode": params.pop("min_child_samples", 1),
         "subsamplingRate": params.pop("subsample", 1.0),
         "featureSubsetStrategy": "all" if columns >= 1.0 else str(columns),
         "seed": params.pop("seed", SEED),
-        "maxBins": params.pop("max_bins", 64),
+        "maxBins": params.pop("max_bins", BOOSTING_DEFAULTS["max_bins"]),
     }
     if params:
         raise ValueError(f"unknown boosting settings: {sorted(params)}")
@@ -147,45 +147,35 @@ def best_iteration(curve: DataFrame, patience: int, by: Sequence[str] = ("model"
     )
 
 
-def prefix(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The ensemble after its first ``rounds`` trees, without another fit."""
-    if rounds >= model.getNumTrees:
-        return model
-    context = SparkSession.active().sparkContext
-    scala_class = context._jvm.org.apache.spark.ml.regression
-    trees = context._gateway.new_array(scala_class.DecisionTreeRegressionModel, rounds)
-    weights = context._gateway.new_array(context._jvm.double, rounds)
-    whole = model._java_obj
-    for i, (tree, weight) in enumerate(zip(whole.trees(), whole.treeWeights())):
-        if i == rounds:
-            break
-        trees[i], weights[i] = tree, weight
-    short = GBTRegressionModel(
-        scala_class.GBTRegressionModel(f"{model.uid}_{rounds}", trees, weights))
-    return short.setFeaturesCol(FEATURES)
-
-
 def boosted_trees(
     train: DataFrame,
     validation: DataFrame,
     features: Sequence[str],
     params: dict | None = None,
     patience: int = PATIENCE,
-    first_rounds: int = FIRST_ROUNDS,
+    first_rounds: int | None = None,
     key: str = "boosted_trees",
 ) -> Fitted:
-    """Boost until validation RMSE has not improved for ``patience`` rounds.
+    """Boost until validation RMSE has not improved for ``patience`` rounds, or to the cap ``n_estimators``.
 
-    Runs have doubling lengths, so a high cap costs nothing when the curve turns
-    early; the winner is cut out of the last run. ``train`` should be persisted.
+    The length of a run has to be told to MLlib in advance. The first has ``first_rounds`` (twice the
+    patience by default), and while the rule has not ended the curve the next is twice as long.
+    So a high cap costs nothing, and all runs together at most twice the last. The winner is
+    fitted with as many rounds as were best: its trees are the first ones of the long run, as
+    each depends only on those before it, the rows and the seed. ``train`` should be persisted.
     """
     start = time.time()
     arguments = boosting_arguments({**BOOSTING_DEFAULTS, **(params or {})})
     cap = arguments.pop("maxIter")
-    rounds = min(cap, first_rounds)
+    checkpoints(train.sparkSession)
+
+    def fit(rounds):
+        return GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, maxIter=rounds, checkpointInterval=10,
+                            **arguments).fit(train)
+
+    rounds = min(cap, first_rounds or 2 * patience)
     while True:
-        regressor = GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, maxIter=rounds, **arguments)
-        model = regressor.fit(train)
+        model = fit(rounds)
         curve = learning_curve(model, validation, key)
         verdict = best_iteration(curve, patience).first()
         if verdict["stopped"] or rounds >= cap:
@@ -193,7 +183,8 @@ def boosted_trees(
         rounds = min(cap, rounds * 2)
     best = verdict["best_iteration"]
     kept = curve.where(F.col("iteration") <= verdict["last"])
-    return Fitted(key, prefix(model, best), list(features), time.time() - start, kept, best)
+    chosen = model if best == rounds else fit(best)
+    return Fitted(key, chosen, list(features), time.time() - start, kept, best, bool(verdict["stopped"]))
 
 
 Trainer = Callable[[DataFrame, DataFrame, Sequence[str], dict], Fitted]

@@ -110,6 +110,9 @@ class Settings:
     sale_date: str = "Sales date"
     date_formats: tuple[str, ...] = (
         "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy H:mm", "M/d/yyyy",
+        "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX",
+        "yyyy-MM-dd HH:mm[:ss][.SSSSSSSSS]", "M/d/yyyy H:mm:ss[.SSSSSSSSS]",
+        "d-MMM-yyyy[ H:mm[:ss]]", "d MMM yyyy[ H:mm[:ss]]", "MMM d, yyyy[ H:mm[:ss]]", "yyyyMMdd",
     )
     text_patterns: dict[str, str] = field(default_factory=lambda: dict(TEXT_PATTERNS))
     dropped: tuple[str, ...] = DROPPED

@@ -287,6 +287,7 @@ where split = '{part}'"""
 SQL["preprocess_train"] = preprocessed("train", f"""
        round({CLIPPED}, 6) as sale_price, round(ln(1 + {CLIPPED}), 6) as log_sale_price""")
 SQL["preprocess_test"] = preprocessed("test", "round(sale_price, 6) as sale_price")
+SQL["reloaded_preprocess"] = SQL["preprocess_test"]
 
 SQL["residuals"] = WITH_PREDICTIONS + f"""
 select {K}, round(y, 6) as y, prediction, round(y - prediction, 6) as residual,

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.columns import c, log_target, to_original_scale
+from ..functions.columns import c, log_target, to_original_scale, without_nan
 from ..operators import evaluate, plotdata, train, tune
 from ..operators.features import engineer
 from ..operators.preprocess import Preprocessor
@@ -31,7 +31,7 @@ def prepare(df: DataFrame, settings: Settings | None = None, exact: bool = False
     """Engineered rows with a ``split`` column, stored once, one folder per split."""
     s = settings or Settings()
     divide = exact_split if exact else hash_split
-    ready = divide(engineer(df, s), s.split_key, s.split_ratios, s.seed)
+    ready = divide(engineer(without_nan(df), s), s.split_key, s.split_ratios, s.seed)
     return materialize(ready, "prepared", "split")
 
 
@@ -55,10 +55,11 @@ def run(
     models: dict[str, dict] | None = None,
     output: str | None = None,
     with_tables: bool = True,
+    exact: bool = False,
 ) -> Outcome:
-    """Fit on train, choose on validation, report on test."""
+    """Fit on train, choose on validation, report on test. ``exact`` gives the splits their exact sizes."""
     s = settings or Settings()
-    prepared = prepare(df, s)
+    prepared = prepare(df, s, exact)
     parts = splits(prepared)
     prep = Preprocessor(s).fit(parts["train"])
     features = prep.final_columns
@@ -80,7 +81,7 @@ def run(
         evaluate.by_quantile(chosen_val), evaluate.summary(scores))
     if with_tables:
         importance = evaluate.feature_importance(spark, best.model, features)
-        result.tables = plotdata.all_tables(df, s.target, on_test, best.key, importance)
+        result.tables = plotdata.all_tables(prepared, s.target, on_test, best.key, importance)
     if output:
         save(spark, result, output)
     fit_rows.unpersist()
@@ -109,15 +110,18 @@ def save(spark: SparkSession, outcome: Outcome, output: str) -> None:
         board = evaluate.leaderboard(outcome.scores.where(F.col("split") == split))
         board = board.drop("split").withColumnRenamed("model", "Model")
         csv.write_report(board, f"{output}/reports/{split}_evaluation")
+    csv.write_report(outcome.run.leaderboard().withColumnRenamed("model", "Model"), f"{output}/reports/leaderboard")
+    for name, rows in outcome.tables.items():
+        csv.write_report(rows, f"{output}/tables/{name}")
     artifacts.save_best(spark, outcome.run, f"{output}/best_model")
     artifacts.save_preprocessor(spark, outcome.preprocessor, f"{output}/preprocessor")
 
 
 def tune_boosting(
-    df: DataFrame, settings: Settings | None = None, output: str | None = None, **search
+    df: DataFrame, settings: Settings | None = None, output: str | None = None, exact: bool = False, **search
 ) -> tuple[DataFrame, DataFrame]:
     """Search boosting settings on the validation rows: all trials, and the best one."""
-    parts = splits(prepare(df, settings))
+    parts = splits(prepare(df, settings, exact))
     prep = Preprocessor(settings).fit(parts["train"])
     fit_rows = training_rows(prep, parts).persist(StorageLevel.MEMORY_AND_DISK)
     judged = evaluation_rows(prep, parts).where(F.col("split") == "val")
@@ -139,7 +143,7 @@ def score(
     spark = df.sparkSession
     prep = artifacts.load_preprocessor(spark, preprocessor_path)
     model, _ = artifacts.load_best(spark, model_path)
-    rows = prep.transform(engineer(df, prep.settings), keep=keep)
+    rows = prep.transform(engineer(without_nan(df), prep.settings), keep=keep)
     predicted = model.transform(rows)
     return predicted.select(*[c(n) for n in keep],
                             to_original_scale(F.col("prediction")).alias(column))

@@ -60,6 +60,12 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder, if no folder is set for that yet."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core when a scan yields fewer splits than there are cores.
 

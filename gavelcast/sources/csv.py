@@ -73,35 +73,78 @@ def infer_types(df: DataFrame, forced_text: Sequence[str] = FORCED_TEXT) -> dict
     return types
 
 
+def breaks_lines(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether some line has an odd number of quotes, so that a quoted field spans lines."""
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    return not lines.where(quotes % 2 == 1).isEmpty()
+
+
+def headers(spark: SparkSession, path: str, options: dict) -> dict[tuple, list[str]]:
+    """Files by their header row. One file is only peeked into; several are read once."""
+    rows = spark.read.options(**options, header=False).csv(path)
+    files = rows.inputFiles()
+    if len(files) < 2:
+        first = rows.first()
+        return {tuple(first) if first is not None else (): files}
+    cells = F.struct(*[c(n) for n in rows.columns])
+    top = rows.select(cells.alias("cells"), F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("line")).where("block = 0")
+    found: dict[tuple, list[str]] = {}
+    for r in top.groupBy("file").agg(F.min_by("cells", "line").alias("cells")).orderBy("file").collect():
+        header = list(r["cells"])
+        found.setdefault(tuple(header), []).append(r["file"])
+    return found
+
+
 def read_sales(
     spark: SparkSession,
     path: str,
     types: dict[str, str] | None = None,
     forced_text: Sequence[str] = FORCED_TEXT,
     na_strings: Sequence[str] = NA_STRINGS,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Read CSV with a header row in each file. A missing path raises.
 
-    Give ``types`` (column -> ``bigint``/``double``/``string``) for recurring
-    loads; without it one extra pass infers them from the whole input.
-    ``multi_line`` allows line breaks in quoted fields, at the price of one task
-    per file.
+    Files may order their columns differently; files of other columns raise, and so does a
+    row with more fields than its header once it is read. Shorter rows end in missing values.
+
+    Give ``types`` (column -> ``bigint``/``double``/``string``) for recurring loads; without it one
+    extra pass infers them from the whole input. ``multi_line`` allows line breaks in quoted
+    fields, at the price of one task per file; by default a pass over the lines finds out.
     """
+    if multi_line is None:
+        multi_line = breaks_lines(spark, path)
     options = {**FORMAT, "multiLine": multi_line}
-    header = spark.read.options(**options, header=False).csv(path).first()
-    names = mangle_headers(list(header) if header is not None else [])
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    # The header is matched by position: its own names may be empty or repeated.
-    raw = spark.read.schema(texts).options(**options, header=True, enforceSchema=True).csv(path)
+    parts, expected = [], None
+    for header, files in headers(spark, path, options).items():
+        names = mangle_headers(list(header))
+        expected = names if expected is None else expected
+        if set(names) != set(expected):
+            raise ValueError(f"files of different columns: {files[0]} lacks or adds {sorted(set(names) ^ set(expected))}")
+        parts.append(_texts(spark, files or path, names, options))
+    raw = parts[0]
+    for part in parts[1:]:
+        raw = raw.unionByName(part)
     clean = normalize_nulls(raw, na_strings)
     chosen = infer_types(clean, forced_text) if types is None else types
     return clean.select(*[
         c(n) if chosen.get(n, "string") == "string" else c(n).try_cast(chosen[n]).alias(n)
-        for n in names
+        for n in expected
     ])
 
 
+def _texts(spark: SparkSession, files, names: list[str], options: dict) -> DataFrame:
+    """All columns as text. The header is matched by position: its own names may be empty or repeated."""
+    beyond = "__beyond_the_header"
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, beyond]])
+    rows = spark.read.schema(texts).options(**options, header=True, enforceSchema=True).csv(files)
+    wide = F.when(c(beyond).isNotNull(), F.raise_error(F.lit(f"a row has more than {len(names)} fields")).cast("boolean"))
+    return rows.where(wide.otherwise(True)).drop(beyond)
+
+
 def write_report(df: DataFrame, path: str) -> str:
     """Write a report table (a row per model, segment or bin) as one CSV file."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -39,18 +39,21 @@ def test_ridge_equals_closed_form(frames, matrix):
 
 
 def test_boosting_arguments():
-    got = train.boosting_arguments({k: v for k, v in BOOSTING_PARAMS.items() if k[:3] != "reg"})
-    assert got["maxDepth"] == 7 and got["maxIter"] == 20000 and got["stepSize"] == 0.0927 / 2
+    got = train.boosting_arguments(train.BOOSTING_DEFAULTS)
+    assert got["maxDepth"] == 7 and got["maxBins"] == 64 and got["maxIter"] == 20000 and got["stepSize"] == 0.0927 / 2
     assert got["minInstancesPerNode"] == 20 and got["subsamplingRate"] == 0.779
     assert got["featureSubsetStrategy"] == "0.943"
     with pytest.raises(ValueError, match="no counterpart"):
         train.boosting_arguments(BOOSTING_PARAMS)
+    with pytest.raises(ValueError, match="num_leaves"):
+        train.boosting_arguments({"num_leaves": 137})
+    with pytest.raises(ValueError, match="max_depth"):
+        train.boosting_arguments({"max_depth": 31})
     with pytest.raises(ValueError, match="unknown"):
         train.boosting_arguments({"typo": 1})
 
 
-BOOST = {"n_estimators": 12, "learning_rate": 0.9, "max_depth": 4, "min_child_samples": 2,
-         "num_leaves": None, "subsample": 1.0, "colsample_bytree": 1.0}
+BOOST = {"n_estimators": 12, "learning_rate": 0.9, "max_depth": 4, "min_child_samples": 2, "subsample": 1.0, "colsample_bytree": 1.0}
 
 
 def test_learning_rate_scales_the_residual(spark):
@@ -58,8 +61,7 @@ def test_learning_rate_scales_the_residual(spark):
     ys = [1.0, 2.0, 10.0, 14.0]
     rows = spark.createDataFrame([(float(i), y) for i, y in enumerate(ys)], "x double, y double")
     data = train.assemble(rows, ["x"], "y")
-    settings = {"n_estimators": 2, "learning_rate": 0.5, "max_depth": 1, "min_child_samples": 1,
-                "num_leaves": None, "subsample": 1.0, "colsample_bytree": 1.0}
+    settings = {"n_estimators": 2, "learning_rate": 0.5, "max_depth": 1, "min_child_samples": 1, "subsample": 1.0, "colsample_bytree": 1.0}
     model = train.boosted_trees(data, data, ["x"], settings).model
     got = [r["prediction"] for r in model.transform(data).orderBy(train.LABEL).collect()]
     # First split after x=1: 1.5 and 12. Residuals -.5, .5, -2, 2 split best after x=2.
@@ -77,16 +79,19 @@ def test_early_stopping_keeps_the_best_round(frames):
     assert got == pytest.approx(min(curve), rel=1e-9)
 
 
-def test_prefix_survives_saving(spark, frames, tmp_path):
+def test_patience_ends_a_run_with_the_published_cap(spark, frames, tmp_path):
+    """20,000 rounds allowed, sampled rows: the rule ends the run, and the winner is its first rounds."""
     rows, validation, names = frames
-    fitted = train.boosted_trees(rows, validation, names, BOOST, patience=50)
-    short = train.prefix(fitted.model, 3)
-    path = str(tmp_path / "m")
-    short.write().save(path)
-    again = type(short).load(path)
-    a = [r["prediction"] for r in short.transform(validation).collect()]
-    b = [r["prediction"] for r in again.transform(validation).collect()]
-    assert short.getNumTrees == 3 and a == b
+    settings = {"learning_rate": 0.6, "max_depth": 4, "subsample": 0.7, "colsample_bytree": 1.0}
+    fitted = train.boosted_trees(rows, validation, names, settings, patience=4, first_rounds=6)
+    rounds = fitted.curve.agg(F.max("iteration")).first()[0]
+    assert fitted.stopped_early and rounds == fitted.best_iteration + 4 < 20000
+    assert train.best_iteration(fitted.curve, 4).first()["stopped"] == 1
+    scored = evaluate.rmse(fitted.predict(validation, "p"), train.LABEL, "p").first()["rmse"]
+    assert scored == pytest.approx(fitted.curve.agg(F.min("rmse")).first()[0], rel=1e-9)
+    fitted.model.write().save(str(tmp_path / "m"))
+    again = type(fitted.model).load(str(tmp_path / "m"))
+    assert again.getNumTrees == fitted.best_iteration
 
 
 def test_train_all_and_importance(spark, frames):
