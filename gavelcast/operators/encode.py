@@ -142,9 +142,12 @@ def fit_onehot(
     features: Sequence[str],
     rare_below: int = RARE_BELOW,
     null_as: str = "reference",
+    max_dummies: int = MAX_DUMMIES,
 ) -> OneHot:
     """Choose the dummy columns. The first level in sort order is the baseline for good,
-    so that encoding a row never depends on which other rows are in the frame."""
+    so that encoding a row never depends on which other rows are in the frame.
+
+    Every dummy is a column of the plan, so more than ``max_dummies`` levels raise; none is dropped."""
     features = [f for f in features if f in df.columns]
     if not features:
         return OneHot({}, {}, null_as)
@@ -156,10 +159,10 @@ def fit_onehot(
             F.max(F.col("level").isNull()).alias("nulls"), F.max(rare).alias("rare")).collect()
     }
     frequent = counts.where(F.col("level").isNotNull() & (F.col("n") >= rare_below))
-    found = frequent.select("feature", "level").limit(MAX_DUMMIES + 1).collect()
-    if len(found) > MAX_DUMMIES:
+    found = frequent.select("feature", "level").limit(max_dummies + 1).collect()
+    if len(found) > max_dummies:
         raise ValueError(
-            f"more than {MAX_DUMMIES} one-hot columns; target-encode the widest features instead")
+            f"more than {max_dummies} one-hot columns; target-encode the widest features instead")
     kept = {f: sorted(r["level"] for r in found if r["feature"] == f) for f in features}
     dummies = {}
     for f in features:
