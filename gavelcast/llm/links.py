@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import materialize
 
-#: Bits of the filter: 4 MB, whatever the size of the table.
-FILTER_BITS = 1 << 25
+#: Bits of the filter: 8 MB, whatever the size of the table.
+FILTER_BITS = 1 << 26
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,14 +40,23 @@ def slot(key: Column) -> Column:
     return F.xxhash64(key).bitwiseAND(FILTER_BITS - 1)
 
 
+def low_bits(number: Column) -> Column:
+    """The slot of a number that is a hash already."""
+    return number.bitwiseAND(FILTER_BITS - 1)
+
+
 def id_filter(ids: DataFrame, key: str) -> np.ndarray:
-    """A bit per ``slot`` that some id falls on, as 64-bit words: no id is missed, a few more pass.
+    """The filter that every one of ``ids`` passes."""
+    return bit_filter(ids.select(slot(F.col(key)).alias("slot")))
+
+
+def bit_filter(slots: DataFrame) -> np.ndarray:
+    """A bit per slot that occurs, as 64-bit words: nothing is missed, a few others pass.
 
-    The bits are set by an aggregation; the driver holds 4 MB at any number of ids.
+    The bits are set by an aggregation; the driver holds ``FILTER_BITS / 8`` bytes at any number of rows.
     """
-    words = ids.select(slot(F.col(key)).alias("s")).groupBy(
-        F.shiftright("s", 6).cast("int").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits"))
+    words = slots.groupBy(F.shiftright("slot", 6).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
     found = words.toArrow()
     out = np.zeros(FILTER_BITS // 64, np.uint64)
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)

@@ -34,12 +34,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.columns import c
 from ..runtime import materialize
-from .links import components, id_filter, lists, passes, slot
+from .links import FILTER_BITS, bit_filter, components, id_filter, lists, low_bits, passes, slot
 from .tokens import mix, shingles, word_hashes
 
 GROUPS = 32
 #: At most so many frequent shingles are broadcast (9 bytes each), and from so many sightings on.
 FREQUENT, SIGHTINGS = 1 << 20, 32
+#: Pairs of numbers, 16 bytes each, that may be broadcast.
+BROADCAST_PAIRS = 1_000_000
 #: Shingles among which a task looks for repeated ones at a time.
 AT_ONCE = 1 << 22
 
@@ -132,25 +134,41 @@ def entries(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
 
 
 def _sets(docs: DataFrame, key: str, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """``(node, members)`` of the wanted ``(id, node)``. Only texts whose id passes a filter of fixed size are hashed
-    again, and only their sets are shuffled."""
+    """``(node, members)`` of the texts whose id passes a filter of fixed size made of the wanted ids. Only those texts are
+    hashed again; a few others may pass, and repeated rows come repeatedly."""
     sent = docs.sparkSession.sparkContext.broadcast(id_filter(wanted, "id"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.filter(pa.array(passes(sent.value, batch.column(2).to_numpy(zero_copy_only=False))))
-            found = list(shingle_sets(own.column(1), width))
+            own = batch.filter(pa.array(passes(sent.value, batch.column(1).to_numpy(zero_copy_only=False))))
+            found = list(shingle_sets(own.column(0), width))
             nodes = np.array([identity(x) for x in found], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(nodes), lists(found, np.int64)],
-                                             names=["id", "node", "members"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), lists(found, np.int64)], names=["node", "members"])
 
-    schema = T.StructType([
-        T.StructField("id", docs.schema[key].dataType), T.StructField("node", T.LongType()),
-        T.StructField("members", T.ArrayType(T.LongType()))])
-    found = docs.select(c(key).alias("id"), c(text), slot(c(key)).alias("slot")).mapInArrow(run, schema)
-    # Rows of the same id and set would each bring it; one is enough.
-    found = found.join(wanted, ["id", "node"], "left_semi").groupBy("node").agg(F.first("members").alias("members"))
-    return materialize(found, "sets")
+    return docs.select(c(text), slot(c(key)).alias("slot")).mapInArrow(run, "node long, members array<long>")
+
+
+def _shared_rows(unique: DataFrame) -> DataFrame:
+    """``(shingle, node, n)`` of the prefix shingles that more than one row has, and of a few others.
+
+    The shingles are counted with partial sums; which are shared is sent as a filter of fixed size, so the rows of
+    the others, which are most, are not shuffled.
+    """
+    shingle = unique.select(F.explode("prefix").alias("shingle"))
+    shared = shingle.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
+    sent = unique.sparkSession.sparkContext.broadcast(bit_filter(shared.select(low_bits(F.col("shingle")).alias("slot"))))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefixes = batch.column(2)
+            flat = prefixes.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(batch)), prefixes.value_lengths().to_numpy(zero_copy_only=False))
+            kept = passes(sent.value, flat & (FILTER_BITS - 1))
+            at = pa.array(owner[kept])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), batch.column(0).take(at), batch.column(1).take(at)],
+                                             names=["shingle", "node", "n"])
+
+    return unique.select("node", "n", "prefix").mapInArrow(run, "shingle long, node long, n long")
 
 
 def _sizes_fit(a, b, percent: int):
@@ -164,29 +182,37 @@ def _bound_fits(points_a, points_b, sizes, percent: int):
     return (100 + percent) * most >= percent * sizes
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs ``(a, b)`` those with ``100 |a and b| >= percent |a or b|``."""
-    left = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
+def _verified(docs: DataFrame, key: str, text: str, width: int, pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Of pairs ``(a, b)`` those with ``100 |a and b| >= percent |a or b|``.
+
+    Pairs are two numbers, sets are long: up to ``BROADCAST_PAIRS`` pairs, counted first, go to the sets of their ``b``, and
+    only what they need is shuffled to meet the sets of ``a``.
+    """
+    small = pairs.count() <= BROADCAST_PAIRS
+
+    def sets(side):
+        ids = points.select("id", "node").join(pairs.select(F.col(side).alias("node")), "node", "left_semi")
+        return _sets(docs, key, text, width, ids).select(F.col("node").alias(side), F.col("members").alias(f"set_{side}"))
+
+    right = sets("b").join(F.broadcast(pairs) if small else pairs, "b")
     both = F.size(F.array_intersect("set_a", "set_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").where(
-        100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b")
+    return right.join(sets("a"), "a").where(
+        100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b").distinct()
 
 
 def _joined(docs, key, text, width, percent):
     """``(entries, links)`` with links enough to connect every component."""
     rows = materialize(entries(docs, key, text, width, percent), "entries")
     filled = rows.where(F.col("node").isNotNull())
-    prefix = filled.select("node", "n", F.explode("prefix").alias("shingle"))
-    shared = (prefix.select("shingle", "node").groupBy("shingle")
-              .agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("shingle"))
+    # Of equal sets one stands for all.
+    copies = materialize(filled.groupBy("node").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where(
+        "rows > 1").drop("rows"), "copies")
+    unique = filled.join(F.broadcast(copies) if copies.count() <= BROADCAST_PAIRS else copies, "node", "left").where(
+        F.col("first").isNull() | (F.col("id") == F.col("first"))).drop("first")
     band = F.floor(F.ln("n") / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n")
-    members = materialize(
-        prefix.join(shared, "shingle").withColumn("band", band).distinct(), "members")
-
-    points = filled.groupBy("node").agg(F.min("id").alias("id"), F.first("point").alias("point"))
-    points = points.join(members.select("node").distinct(), "node", "left_semi")
-    points = materialize(points, "points")
+    members = materialize(_shared_rows(unique).withColumn("band", band), "members")
+    points = materialize(unique.select("id", "node", "point").join(
+        members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "points")
     place = points.select("node", "point")
 
     # 1. Every member of a bucket against the hub of its size band.
@@ -196,8 +222,7 @@ def _joined(docs, key, text, width, percent):
             .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), (F.col("n") + F.col("hub.n")).alias("sizes"))
             .distinct())
     star = materialize(_within_bound(star, place, percent), "star")
-    sets = _sets(docs, key, text, width, _ids(star, points))
-    links = materialize(_verified(star, sets, percent), "links")
+    links = materialize(_verified(docs, key, text, width, star, points, percent), "links")
     labels = components(links)
 
     # 2. What is still apart in a bucket: components as inner nodes, then their points.
@@ -224,8 +249,8 @@ def _joined(docs, key, text, width, percent):
                       & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
                       & _bound_fits("point_a", "point_b", F.col("n_a") + F.col("n_b"), percent))
     pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
-    more = _sets(docs, key, text, width, _ids(pairs, points))
-    return rows, materialize(links.unionByName(_verified(pairs, more, percent)), "links")
+    more = _verified(docs, key, text, width, pairs, points, percent)
+    return rows, materialize(links.unionByName(more), "links")
 
 
 def _within_bound(pairs: DataFrame, place: DataFrame, percent: int) -> DataFrame:
@@ -235,11 +260,6 @@ def _within_bound(pairs: DataFrame, place: DataFrame, percent: int) -> DataFrame
     return near.where(_bound_fits("point_a", "point_b", F.col("sizes"), percent)).select("a", "b")
 
 
-def _ids(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    return materialize(points.select("id", "node").join(ends, "node", "left_semi"), "wanted")
-
-
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
     """``(id, n_shingles, component_id)`` per row of ``docs``; ``component_id`` is the smallest id that links reach."""
     if not 0 < percent <= 100:
