@@ -43,7 +43,7 @@ class Limits:
 
     class_distance: float = 0.24
     min_chars: int = 300
-    word_distance: float = 0.3
+    word_distance: float = 0.25
     min_words: int = 100
 
 
@@ -175,6 +175,11 @@ def judge(measured: DataFrame, known: dict, limits: Limits = Limits()) -> DataFr
     return step.withColumn("kept", ~F.col("base_failed") & ~far)
 
 
+def final_references(measured: DataFrame, lang: str, limits: Limits) -> dict:
+    """References without the documents that are far from those of all documents."""
+    return references(judge(measured, references(measured, lang), limits).where("kept"), lang)
+
+
 def quality(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None,
             limits: Limits = Limits()) -> DataFrame:
     """The verdict on each document, with the columns ``carry`` (default: all).
@@ -186,15 +191,18 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list
     measured = measure(docs.select(*[c(n) for n in dict.fromkeys([*carry, lang, text])]), text)
     measured = measured.drop(*({text, lang} - set(carry) - {lang}))
     stored = materialize(measured, "quality")
-    # Documents far from the first references are no part of the final ones.
-    first = judge(stored, references(stored, lang), limits).where("kept")
-    judged = judge(stored, references(first, lang), limits)
+    judged = judge(stored, final_references(stored, lang, limits), limits)
     return judged if lang in carry else judged.drop(lang)
 
 
 def clean(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
+    """The rows of ``docs`` that the rules keep, with the columns of ``docs``.
+
+    Only counts are stored for the references; the texts are measured again rather than copied.
+    """
     ours = (*BASE, "base_failed", "class_counts", "common_counts", "class_distance", "word_distance", "kept")
     aside = {name: f"_own_{name}" for name in docs.columns if name in ours}
-    found = quality(docs.withColumnsRenamed(aside), text, lang, limits=limits).where("kept").drop(*ours)
-    return found.withColumnsRenamed({v: k for k, v in aside.items()}).select(*[c(name) for name in docs.columns])
+    docs, names = docs.withColumnsRenamed(aside), docs.columns
+    counts = materialize(measure(docs.select(c(text), c(lang)), text).drop(text), "quality")
+    found = judge(measure(docs, text), final_references(counts, lang, limits), limits).where("kept").drop(*ours)
+    return found.withColumnsRenamed({v: k for k, v in aside.items()}).select(*[c(name) for name in names])
