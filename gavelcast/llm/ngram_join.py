@@ -37,7 +37,8 @@ from ..runtime import materialize
 from .links import FILTER_BITS, bit_filter, components, id_filter, lists, low_bits, passes, slot
 from .tokens import mix, shingles, word_hashes
 
-GROUPS = 32
+#: Points of unrelated sets lie further apart than similar ones may, up to some 50 shingles a group.
+GROUPS = 128
 #: At most so many frequent shingles are broadcast (9 bytes each), and from so many sightings on.
 FREQUENT, SIGHTINGS = 1 << 20, 32
 #: Pairs of numbers, 16 bytes each, that may be broadcast.
@@ -56,7 +57,7 @@ def identity(own: np.ndarray) -> int:
 
 
 def point(own: np.ndarray) -> np.ndarray:
-    groups = mix(own ^ np.uint64(0x27D4EB2F165667C5)) >> np.uint64(59)
+    groups = mix(own ^ np.uint64(0x27D4EB2F165667C5)) >> np.uint64(64 - GROUPS.bit_length() + 1)
     return np.bincount(groups.astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
