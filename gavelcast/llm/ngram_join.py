@@ -56,9 +56,11 @@ def identity(own: np.ndarray) -> int:
     return int(mix(mix(own * np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64, keepdims=True))[0])
 
 
-def point(own: np.ndarray) -> np.ndarray:
+def point(own: np.ndarray) -> np.ndarray | None:
+    """Group counts; none if one is too large for 16 bits."""
     groups = mix(own ^ np.uint64(0x27D4EB2F165667C5)) >> np.uint64(64 - GROUPS.bit_length() + 1)
-    return np.bincount(groups.astype(np.int64), minlength=GROUPS).astype(np.int32)
+    counts = np.bincount(groups.astype(np.int64), minlength=GROUPS)
+    return counts.astype(np.int16) if counts.max() < 1 << 15 else None
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -124,13 +126,13 @@ def entries(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()),
                  pa.array(node, mask=np.array([x is None for x in nodes], bool)),
-                 lists(prefixes, np.int64), lists(points, np.int32)],
+                 lists(prefixes, np.int64), pa.array(points, pa.list_(pa.int16()))],
                 names=["id", "n", "node", "prefix", "point"])
 
     schema = T.StructType([
         T.StructField("id", docs.schema[key].dataType), T.StructField("n", T.LongType()),
         T.StructField("node", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())),
-        T.StructField("point", T.ArrayType(T.IntegerType()))])
+        T.StructField("point", T.ArrayType(T.ShortType()))])
     return docs.select(c(key).alias("id"), c(text)).mapInArrow(run, schema)
 
 
@@ -177,10 +179,10 @@ def _sizes_fit(a, b, percent: int):
 
 
 def _bound_fits(points_a, points_b, sizes, percent: int):
-    """Whether the sum of coordinate minima reaches the overlap that sets of so many shingles in all need."""
+    """Whether the sum of coordinate minima reaches the overlap that sets of so many shingles in all need. A missing point bounds nothing."""
     most = F.aggregate(F.zip_with(points_a, points_b, lambda x, y: F.least(x, y).cast("long")),
                        F.lit(0).cast("long"), lambda total, x: total + x)
-    return (100 + percent) * most >= percent * sizes
+    return F.coalesce((100 + percent) * most >= percent * sizes, F.lit(True))
 
 
 def _verified(docs: DataFrame, key: str, text: str, width: int, pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -230,26 +232,27 @@ def _joined(docs, key, text, width, percent):
     apart = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("band")
     mixed = apart.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     apart = materialize(apart.join(mixed.select("shingle"), "shingle"), "apart")
-    inner = apart.join(place, "node").groupBy("shingle", "label").agg(
+    nodes = apart.groupBy("node", "label").agg(F.first("n").alias("n")).join(place, "node")
+    inner = materialize(nodes.groupBy("label").agg(
         F.min("n").alias("least"), F.max("n").alias("most"),
-        F.array(*[F.max(F.get("point", F.lit(i))) for i in range(GROUPS)]).alias("point"))
-    inner = materialize(inner, "inner")
-    x, y = (inner.select("shingle", *[F.col(n).alias(f"{n}_{side}") for n in ("label", "least", "most", "point")])
-            for side in "ab")
-    opened = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("label_a") < F.col("label_b"))
-                    & (100 * F.col("most_b") >= percent * F.col("least_a"))
-                    & (100 * F.col("most_a") >= percent * F.col("least_b"))
-                    & _bound_fits("point_a", "point_b", F.col("least_a") + F.col("least_b"), percent)
-                    ).select(x["shingle"].alias("shingle"), "label_a", "label_b")
+        F.when(F.count("point") == F.count("node"), F.array(*[
+            F.max(F.get("point", F.lit(i))) for i in range(GROUPS)])).alias("point")), "inner")
+    buckets = apart.groupBy("shingle", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    x, y = (buckets.select("shingle", *[F.col(n).alias(f"{n}_{side}") for n in ("label", "least", "most")]) for side in "ab")
+    met = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("label_a") < F.col("label_b"))
+                 & (100 * F.col("most_b") >= percent * F.col("least_a"))
+                 & (100 * F.col("most_a") >= percent * F.col("least_b"))).select("label_a", "label_b").distinct()
+    u, v = (inner.select(*[F.col(n).alias(f"{n}_{side}") for n in ("label", "least", "point")]) for side in "ab")
+    opened = materialize(met.join(u, "label_a").join(v, "label_b").where(_bound_fits(
+        "point_a", "point_b", F.col("least_a") + F.col("least_b"), percent)).select("label_a", "label_b"), "opened")
     own = apart.select("shingle", F.col("label").alias("label_a"), F.col("node").alias("a"), F.col("n").alias("n_a"))
     other = apart.select("shingle", F.col("label").alias("label_b"), F.col("node").alias("b"), F.col("n").alias("n_b"))
-    right = other.join(place.select(F.col("node").alias("b"), F.col("point").alias("point_b")), "b")
-    left = opened.join(own, ["shingle", "label_a"]).join(
-        place.select(F.col("node").alias("a"), F.col("point").alias("point_a")), "a")
-    pairs = left.join(right, (left["shingle"] == right["shingle"]) & (left["label_b"] == right["label_b"])
-                      & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
-                      & _bound_fits("point_a", "point_b", F.col("n_a") + F.col("n_b"), percent))
-    pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
+    small = opened.count() <= BROADCAST_PAIRS
+    left = own.join(F.broadcast(opened) if small else opened, "label_a")
+    near = left.join(other, (left["shingle"] == other["shingle"]) & (left["label_b"] == other["label_b"])
+                     & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)).select(
+        "a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes")).distinct()
+    pairs = materialize(_within_bound(near, place, percent), "pairs")
     more = _verified(docs, key, text, width, pairs, points, percent)
     return rows, materialize(links.unionByName(more), "links")
 
