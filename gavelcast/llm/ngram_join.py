@@ -44,12 +44,15 @@ FREQUENT, SIGHTINGS = 1 << 20, 32
 #: Pairs of numbers, 16 bytes each, that may be broadcast.
 BROADCAST_PAIRS = 1_000_000
 #: Shingles among which a task looks for repeated ones at a time.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 21
+TEXTS_AT_ONCE = 500
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
-    hashes, first = word_hashes(texts)
-    return map(np.unique, shingles(hashes, first, width))
+    """The distinct shingles of each text; hashes of some hundred texts are held at a time."""
+    for begin in range(0, len(texts), TEXTS_AT_ONCE):
+        hashes, first = word_hashes(texts.slice(begin, TEXTS_AT_ONCE))
+        yield from map(np.unique, shingles(hashes, first, width))
 
 
 def identity(own: np.ndarray) -> int:
