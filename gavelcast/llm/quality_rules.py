@@ -184,8 +184,9 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list
             limits: Limits = Limits()) -> DataFrame:
     """The verdict on each document, with the columns ``carry`` (default: all).
 
-    The counts are written once to the shared folder: they are read for the references and again
-    for the verdict, and the texts are not read twice.
+    The counts are written once to the shared folder, with what is carried: they are read for the references and
+    again for the verdict. Stored columns also keep a filter on the verdict from being pushed into the
+    expressions of the counts, where it would repeat them.
     """
     carry = docs.columns if carry is None else carry
     measured = measure(docs.select(*[c(n) for n in dict.fromkeys([*carry, lang, text])]), text)
@@ -196,13 +197,8 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list
 
 
 def clean(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the columns of ``docs``.
-
-    Only counts are stored for the references; the texts are measured again rather than copied.
-    """
+    """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
     ours = (*BASE, "base_failed", "class_counts", "common_counts", "class_distance", "word_distance", "kept")
     aside = {name: f"_own_{name}" for name in docs.columns if name in ours}
-    docs, names = docs.withColumnsRenamed(aside), docs.columns
-    counts = materialize(measure(docs.select(c(text), c(lang)), text).drop(text), "quality")
-    found = judge(measure(docs, text), final_references(counts, lang, limits), limits).where("kept").drop(*ours)
-    return found.withColumnsRenamed({v: k for k, v in aside.items()}).select(*[c(name) for name in names])
+    found = quality(docs.withColumnsRenamed(aside), text, lang, limits=limits).where("kept").drop(*ours)
+    return found.withColumnsRenamed({v: k for k, v in aside.items()}).select(*[c(name) for name in docs.columns])
