@@ -441,7 +441,7 @@ def best_iteration(spark, sf_dir):
 
 # No cap of its own: the patience rule ends each run, early because the steps are large.
 QUICK_BOOST = {
-    "learning_rate": 0.5, "max_depth": 4, "min_child_samples": 20, "subsample": 1.0,
+    "learning_rate": 1.0, "max_depth": 6, "min_child_samples": 20, "subsample": 1.0,
     "colsample_bytree": 1.0, "patience": 5,
 }
 PLAIN_TREES = {"min_child_samples": 1, "subsample": 1.0, "colsample_bytree": 1.0}
