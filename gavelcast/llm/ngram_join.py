@@ -39,6 +39,10 @@ from .tokens import mix, shingles, word_hashes
 
 #: Points of unrelated sets lie further apart than similar ones may, up to some 50 shingles a group.
 GROUPS = 128
+#: Sets from this size on also have a finer point; it bounds pairs in which both have one.
+LONG, FINE_GROUPS = 1500, 1024
+#: Finer points, 2 KB each, that may be broadcast.
+BROADCAST_POINTS = 24_000
 #: At most so many frequent shingles are broadcast (9 bytes each), and from so many sightings on.
 FREQUENT, SIGHTINGS = 1 << 20, 32
 #: Pairs of numbers, 16 bytes each, that may be broadcast.
@@ -59,10 +63,10 @@ def identity(own: np.ndarray) -> int:
     return int(mix(mix(own * np.uint64(0xC2B2AE3D27D4EB4F)).sum(dtype=np.uint64, keepdims=True))[0])
 
 
-def point(own: np.ndarray) -> np.ndarray | None:
+def point(own: np.ndarray, groups: int = GROUPS) -> np.ndarray | None:
     """Group counts; none if one is too large for 16 bits."""
-    groups = mix(own ^ np.uint64(0x27D4EB2F165667C5)) >> np.uint64(64 - GROUPS.bit_length() + 1)
-    counts = np.bincount(groups.astype(np.int64), minlength=GROUPS)
+    group = mix(own ^ np.uint64(0x27D4EB2F165667C5)) >> np.uint64(64 - groups.bit_length() + 1)
+    counts = np.bincount(group.astype(np.int64), minlength=groups)
     return counts.astype(np.int16) if counts.max() < 1 << 15 else None
 
 
@@ -107,14 +111,14 @@ def frequent(docs: DataFrame, text: str, width: int, most: int = FREQUENT) -> tu
 
 
 def entries(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """Per row: ``(id, n, node, prefix, point)``; ``node`` is the set's identity, null for an empty set."""
+    """Per row: ``(id, n, node, prefix, point, fine)``; ``node`` is the set's identity, null for an empty set."""
     often, level = frequent(docs, text, width)
     often_sent = docs.sparkSession.sparkContext.broadcast((often, level))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, level = often_sent.value
         for batch in batches:
-            sizes, nodes, prefixes, points = [], [], [], []
+            sizes, nodes, prefixes, points, fine = [], [], [], [], []
             for own in shingle_sets(batch.column(1), width):
                 rank = np.zeros(len(own), np.uint8)
                 if len(often):
@@ -125,17 +129,18 @@ def entries(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
                 nodes.append(identity(own) if len(own) else None)
                 prefixes.append(first)
                 points.append(point(own))
+                fine.append(point(own, FINE_GROUPS) if len(own) >= LONG else None)
             node = np.array([x or 0 for x in nodes], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()),
                  pa.array(node, mask=np.array([x is None for x in nodes], bool)),
-                 lists(prefixes, np.int64), pa.array(points, pa.list_(pa.int16()))],
-                names=["id", "n", "node", "prefix", "point"])
+                 lists(prefixes, np.int64), pa.array(points, pa.list_(pa.int16())), pa.array(fine, pa.list_(pa.int16()))],
+                names=["id", "n", "node", "prefix", "point", "fine"])
 
     schema = T.StructType([
         T.StructField("id", docs.schema[key].dataType), T.StructField("n", T.LongType()),
         T.StructField("node", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())),
-        T.StructField("point", T.ArrayType(T.ShortType()))])
+        T.StructField("point", T.ArrayType(T.ShortType())), T.StructField("fine", T.ArrayType(T.ShortType()))])
     return docs.select(c(key).alias("id"), c(text)).mapInArrow(run, schema)
 
 
@@ -217,9 +222,10 @@ def _joined(docs, key, text, width, percent):
         F.col("first").isNull() | (F.col("id") == F.col("first"))).drop("first")
     band = F.floor(F.ln("n") / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("n")
     members = materialize(_shared_rows(unique).withColumn("band", band), "members")
-    points = materialize(unique.select("id", "node", "point").join(
+    points = materialize(unique.select("id", "node", "point", "fine").join(
         members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "points")
     place = points.select("node", "point")
+    fine = materialize(points.where("fine is not null").select("node", "fine"), "fine")
 
     # 1. Every member of a bucket against the hub of its size band.
     hubs = members.groupBy("shingle", "band").agg(F.min(F.struct("node", "n")).alias("hub"))
@@ -227,7 +233,7 @@ def _joined(docs, key, text, width, percent):
             & _sizes_fit(F.col("n"), F.col("hub.n"), percent))
             .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), (F.col("n") + F.col("hub.n")).alias("sizes"))
             .distinct())
-    star = materialize(_within_bound(star, place, percent), "star")
+    star = materialize(_within_bound(star, place, fine, percent), "star")
     links = materialize(_verified(docs, key, text, width, star, points, percent), "links")
     labels = components(links)
 
@@ -255,16 +261,21 @@ def _joined(docs, key, text, width, percent):
     near = left.join(other, (left["shingle"] == other["shingle"]) & (left["label_b"] == other["label_b"])
                      & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)).select(
         "a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes")).distinct()
-    pairs = materialize(_within_bound(near, place, percent), "pairs")
+    pairs = materialize(_within_bound(near, place, fine, percent), "pairs")
     more = _verified(docs, key, text, width, pairs, points, percent)
     return rows, materialize(links.unionByName(more), "links")
 
 
-def _within_bound(pairs: DataFrame, place: DataFrame, percent: int) -> DataFrame:
-    a = place.select(F.col("node").alias("a"), F.col("point").alias("point_a"))
-    b = place.select(F.col("node").alias("b"), F.col("point").alias("point_b"))
-    near = pairs.join(a, "a").join(b, "b")
-    return near.where(_bound_fits("point_a", "point_b", F.col("sizes"), percent)).select("a", "b")
+def _within_bound(pairs: DataFrame, place: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the bound of the points admits, and then that of the finer points where both have one."""
+    small = fine.count() <= BROADCAST_POINTS
+    sides = [("point", place, False, "inner"), ("fine", fine, small, "left")]
+    for name, table, send, kind in sides:
+        for side in "ab":
+            own = table.select(F.col("node").alias(side), F.col(name).alias(f"{name}_{side}"))
+            pairs = pairs.join(F.broadcast(own) if send else own, side, kind)
+        pairs = pairs.where(_bound_fits(f"{name}_a", f"{name}_b", F.col("sizes"), percent)).select("a", "b", "sizes")
+    return pairs.select("a", "b")
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
