@@ -89,9 +89,9 @@ def _candidates(cuts: DataFrame, keep: list[str]) -> DataFrame:
     head_bytes = F.octet_length("head").cast("long")
     step = step.select(
         *keep, "file", "file_bytes", "block", "n", size.alias("size"), head_bytes.alias("head_bytes"),
-        F.when(F.length("head") < 65536, F.col("head")).alias("head"), F.col("value").alias("raw"))
-    step = step.withColumn("body_bytes", F.when(
-        F.col("size") > F.col("head_bytes"), _header("Content-Length").try_cast("long")))
+        # A cut without a header's end is none, however long; a header may have any length.
+        F.when(size > head_bytes, F.col("head")).alias("head"), F.col("value").alias("raw"))
+    step = step.withColumn("body_bytes", _header("Content-Length").try_cast("long"))
     span = F.col("head_bytes") + len(END) + F.col("body_bytes") + len(END)
     payload = F.substring(F.col("raw").cast("binary"), (F.col("head_bytes") + len(END) + 1).cast("int"),
                           F.col("body_bytes").cast("int"))

@@ -52,6 +52,17 @@ def test_foreign_archive_with_a_torn_end(spark, tmp_path):
     assert got == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in bodies.items()}
 
 
+def test_urls_of_any_length(spark):
+    """Records after a long header are read too."""
+    rows = [(1, "u", "one"), (2, "data:text/plain," + "x" * 70_000, "two"), (3, "u", "three"), (4, "https://h/" + "é" * 500_000, X), (5, "u", X)]
+    path = scratch_path(spark, "archives")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    records = warc.read(spark, path)
+    assert {r["page"]: r["url"] for r in records.collect()} == {str(i): url for i, url, _ in rows}
+    got = {r["page"]: r["payload_digest"] for r in warc.payloads(records).collect()}
+    assert got == {str(i): hashlib.sha256(body.encode()).hexdigest() for i, _, body in rows}
+
+
 def test_no_pages(spark):
     path = scratch_path(spark, "archives")
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
