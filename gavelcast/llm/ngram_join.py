@@ -278,8 +278,8 @@ def _within_bound(pairs: DataFrame, place: DataFrame, fine: DataFrame, percent:
     return pairs.select("a", "b")
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
-    """``(id, n_shingles, component_id)`` per row of ``docs``; ``component_id`` is the smallest id that links reach."""
+def _labelled(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """``(id, n_shingles, node, label, component_id)`` per row; ``node`` and ``label``, the group, are null for an empty set."""
     if not 0 < percent <= 100:
         raise ValueError("percent must lie in (0, 100]")
     rows, links = _joined(docs, key, text, width, percent)
@@ -288,26 +288,52 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
         "label", F.coalesce("label", "node"))
     smallest = labelled.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("smallest"))
     return labelled.join(smallest, "label", "left").select(
-        "id", "n_shingles", F.coalesce("smallest", "id").alias("component_id"))
+        "id", "n_shingles", "node", "label", F.coalesce("smallest", "id").alias("component_id"))
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
+    """``(id, n_shingles, component_id)`` per row of ``docs``; ``component_id`` is the smallest id that links reach."""
+    return _labelled(docs, key, text, width, percent).select("id", "n_shingles", "component_id")
+
+
+def _with_node(docs: DataFrame, text: str, width: int) -> DataFrame:
+    """``docs`` and ``__node``, the identity of each row's set."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())])
+    place = docs.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(shingle_sets(batch.column(place), width))
+            nodes = np.array([identity(x) if len(x) else 0 for x in found], np.uint64).view(np.int64)
+            node = pa.array(nodes, mask=np.array([not len(x) for x in found], bool))
+            yield pa.RecordBatch.from_arrays([*batch.columns, node], names=[*batch.schema.names, "__node"])
+
+    return docs.mapInArrow(run, schema)
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
                 broadcast_ids: int = 1_000_000) -> DataFrame:
-    """``docs`` without the rows that a row of smaller id is linked with. Of rows that repeat a kept id in its group one stays.
+    """``docs`` without the rows that a row of smaller id is linked with. Of linked rows that share the smallest id one stays, of
+    the smallest set identity; rows of one id that are not linked are separate texts, and all rows without words stay, as do null ids.
 
     The ids that go are few beside the texts and are broadcast up to ``broadcast_ids`` of them, counted first, so the texts are not shuffled.
     """
-    found = groups(docs, key, text, width, percent)
-    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    found = materialize(_labelled(docs, key, text, width, percent).where("id is not null"), "found")
+    kept = F.col("id") == F.col("component_id")
     per_id = materialize(found.groupBy("id").agg(
-        F.sum(kept.cast("int")).alias("n_kept"), F.max("n_shingles").alias("filled")).where(
-        "(n_kept = 0 or n_kept > 1) and id is not null"), "dropped")
+        F.sum(kept.cast("int")).alias("n_kept"), F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("filled")).where(
+        "n_kept = 0 or (n > 1 and filled > 0)"), "dropped")
     gone = per_id.where("n_kept = 0").select(F.col("id").alias("__gone"))
     out = docs.join(F.broadcast(gone) if gone.count() <= broadcast_ids else gone, c(key) == F.col("__gone"), "left_anti")
-    twice = per_id.where("n_kept > 1 and filled > 0").select(F.col("id").alias("__twice"))
-    if twice.isEmpty():
+    several = per_id.where("n_kept > 0").select(F.col("id").alias("__several"))
+    if several.isEmpty():
         return out
-    # Repeated ids are rare: only their rows are brought together.
-    small = F.broadcast(twice) if twice.count() <= broadcast_ids else twice
-    return out.join(small, c(key) == F.col("__twice"), "left_anti").unionByName(
-        out.join(small, c(key) == F.col("__twice"), "left_semi").dropDuplicates([key]))
+    # Repeated ids are rare: only their rows are hashed again and brought together.
+    small = F.broadcast(several) if several.count() <= broadcast_ids else several
+    stay = found.where(kept & F.col("node").isNotNull()).join(several, F.col("id") == F.col("__several"), "left_semi").groupBy(
+        "id", "label").agg(F.min("node").alias("__node")).select(F.col("id").alias("__id"), "__node")
+    rows = _with_node(out.join(small, c(key) == F.col("__several"), "left_semi"), text, width)
+    filled = rows.join(stay.withColumnRenamed("__node", "__stay"), (c(key) == F.col("__id")) & (F.col("__node") == F.col("__stay")), "left_semi")
+    return (out.join(small, c(key) == F.col("__several"), "left_anti")
+            .unionByName(filled.dropDuplicates([key, "__node"]).drop("__node"))
+            .unionByName(rows.where(F.col("__node").isNull()).drop("__node")))

@@ -60,6 +60,17 @@ def test_one_of_each_keeps_the_smallest_id_and_the_columns(spark):
     assert ngram_join.one_of_each(docs, broadcast_ids=0).count() == kept.count()
 
 
+def test_one_of_each_decides_per_text_where_ids_repeat(spark):
+    other, third = (" ".join(f"{x}{i}" for i in range(60)) for x in "uv")
+    rows = [(1, BASE, "a"), (1, other, "b"), (1, other, "b"), (1, None, "c"), (2, BASE + " x", "d"), (2, third, "e"), (3, other + " x", "f"),
+            (4, third.upper(), "g"), (5, "", "h"), (5, None, "i"), (6, BASE + " y", "j"), (6, "", "k"), (7, "q " * 9, "l"), (7, "q " * 10, "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string")
+    # Near copies of 1 and 2 go; 1 keeps its texts, one of two copies, and 2 the text that is new.
+    for most in (1_000_000, 0):
+        kept = ngram_join.one_of_each(docs, broadcast_ids=most).collect()
+        assert sorted(r["note"] for r in kept) == list("abcehikl")
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.groups(docs).count() == 0 and ngram_join.one_of_each(docs).count() == 0
