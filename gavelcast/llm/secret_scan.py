@@ -1,6 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of 16 or more letters, digits and ``+/_-`` that holds a digit. Its word and two
+A candidate is a run of 16 or more letters, digits and ``+/_-`` that holds a digit, or what a key word and ``=`` or ``:`` assign: a
+value of 6 or more characters of any kind but blanks, up to the closing quote if it is quoted, else up to a quote, bracket, comma, semicolon, ``&``, ``<`` or ``>``. Of two candidates
+of a word of which one holds the other, the longer counts. Its word and two
 neighbours on each side give the forest's inputs: length, transitions between character classes, shares of the
 classes, variety, coverage by a dictionary, path marks, and key or decoy words beside it. All of it is DataFrame expressions
 and the forest is MLlib's; the forest is small and travels in the plan.
@@ -25,6 +27,8 @@ from ..functions.columns import c
 from ..runtime import materialize
 
 CANDIDATE = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}"
+#: Shortest value that a key word assigns.
+LEAST_VALUE = 6
 #: Rows of labelled findings made for training, trees and their depth.
 FINDINGS, TREES, DEPTH = 6000, 30, 7
 BROADCAST_DOCS = 200_000
@@ -40,7 +44,18 @@ DICTIONARY = ("account address admin application archive article branch build bu
               "profile program project property public query report request resource response result return script search section "
               "server service session setting source staging standard start state status store string style summary support system table "
               "target template test text theme time title tool type update upload user utils value version video view window world").split()
-FEATURES = ("length", "transitions", "digits", "uppers", "lowers", "hex_only", "digits_only", "variety", "dictionary",
+# Words that follow a key word and a colon in prose and code.
+VALUES = ("required optional string integer boolean undefined unknown missing invalid incorrect disabled enabled forgotten function "
+          "return console window getenv important therefore because together something anything everything nothing another whether "
+          "members school sector practice company lessons meeting events insurance healthcare education information details").split()
+_ASSIGN = rf"(?i:(?:^|[^a-z0-9])(?:{'|'.join(sorted(KEY_WORDS, key=lambda w: -len(w)))})[\"'`\])]*\s*(?:=>|:=|==?|:)\s*)"
+_QUOTED = "|".join(rf"(?<={q})[^{q}\s]{{{LEAST_VALUE},}}" for q in "\"'`")
+_BARE = rf"(?<![\"'`])[^\s\"'`;,&<>()\[\]{{}}]{{{LEAST_VALUE - 1},}}[^\s\"'`;,&<>()\[\]{{}}.:]"
+#: A value in the last word, group 1.
+ASSIGNED = rf"{_ASSIGN}[\"'`]?({_QUOTED}|{_BARE})(?=\S*$)"
+#: Texts that may hold such a value.
+MAY_ASSIGN = rf"{_ASSIGN}\S{{{LEAST_VALUE},}}"
+FEATURES = ("length", "transitions", "digits", "uppers", "lowers", "symbols", "hex_only", "digits_only", "variety", "dictionary",
             "slashes", "dashes", "path_mark", "known_prefix", "key_word", "decoy", "assigned", "quoted")
 
 
@@ -50,14 +65,15 @@ def with_features(findings: DataFrame) -> DataFrame:
     length = F.length(token)
 
     def share(kept):
-        return (F.length(F.regexp_replace(token, f"[^{kept}]", "")) / length).cast("double")
+        return 1 - (F.length(F.regexp_replace(token, f"[{kept}]", "")) / length).cast("double")
 
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(token, "[0-9]+", "0"), "[a-z]+", "a"), "[A-Z]+", "A")
     beside = F.lower("before")
     word = r"(?:^|[^a-z0-9])(?:{})[^a-z0-9]*$"
     columns = {
         "length": length, "transitions": F.length(shape) / length, "digits": share("0-9"), "uppers": share("A-Z"),
-        "lowers": share("a-z"), "hex_only": token.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "digits_only": token.rlike("^[0-9_\\-]+$"),
+        "lowers": share("a-z"), "symbols": share("^A-Za-z0-9+/_\\-"),
+        "hex_only": token.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "digits_only": token.rlike("^[0-9_\\-]+$"),
         "variety": F.size(F.array_distinct(F.split(token, ""))) / length,
         "dictionary": 1 - F.length(F.regexp_replace(F.lower(token), "|".join(sorted(DICTIONARY, key=lambda w: -len(w))), "")) / length,
         "slashes": F.length(token) - F.length(F.translate(token, "/", "")),
@@ -102,6 +118,14 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         (prose, F.concat(F.lit("AKIA"), _random("aws", 16, big + digits)), 1), (prose, F.concat(F.lit("ghp_"), _random("gh", 36, alnum)), 1),
         (prose, F.concat(F.lit("sk_live_"), _random("sk", 24, alnum)), 1), (prose, F.concat(F.lit("eyJ"), _random("jwt", 60, alnum + "-_")), 1),
         (key, F.concat(F.lit("AKIA"), _random("aws2", 16, big + digits)), 1),
+        (key, _random("p8", 8, alnum), 1), (key, _random("p12", 12, alnum), 1), (key, _random("m10", 10, small + big), 1),
+        (key, F.concat(_random("s3", 3, alnum), _random("s1", 1, "!$%@#*?.^~"), _random("s5", 5, alnum + "!$%@#*?.^~")), 1),
+        (key, F.concat(_random("s8", 8, alnum + "!$%@#*?.^~"), _random("s2", 2, "!$%@#*?^~"), _random("s6", 6, alnum)), 1),
+        (key, F.concat(word("h1"), _random("h2", 2, digits)), 1), (key, F.concat(pick("h3", VALUES), _random("h4", 3, digits)), 1),
+        (key, _random("l20", 20, small), 1), (key, F.concat(word("l1"), pick("l2", VALUES), word("l3")), 1), (key, F.concat(_random("l12", 12, small), word("l4")), 1),
+        (key, pick("v1", VALUES), 0), (key, word("v2"), 0), (key, F.initcap(pick("v3", VALUES)), 0), (key, F.concat(pick("v4", VALUES), F.lit("."), word("v5")), 0),
+        (key, F.concat_ws("_", word("v6"), pick("v7", VALUES)), 0), (key, F.concat_ws("-", pick("v8", VALUES), word("v9")), 0), (key, F.upper(pick("v10", VALUES)), 0),
+        (key, F.concat(F.lit("https://"), word("v11"), F.lit(".com/"), pick("v12", VALUES)), 0), (key, _random("v13", 8, small), 0),
         (decoy, _random("d40", 40, hexes), 0), (decoy, _random("d64", 64, hexes), 0), (decoy, uuid, 0), (prose, uuid, 0),
         (prose, _random("c16", 16, digits), 0), (prose, _random("c19", 19, digits), 0), (decoy, _random("c20", 20, digits), 0),
         (prose, path, 0), (F.concat(prose, F.lit("https://")), path, 0), (prose, name, 0), (prose, F.concat(word("m1"), word("m2"), word("m3"), number), 0),
@@ -121,15 +145,24 @@ def train(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Pipeli
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, text_hash, place, before, candidate, after)`` per candidate; ``place`` is its word's number."""
-    rows = docs.select(c(key).alias("id"), F.sha2(c(text), 256).alias("text_hash"), c(text).alias("text")).where(F.col("text").rlike(CANDIDATE))
+    rows = docs.select(c(key).alias("id"), F.sha2(c(text), 256).alias("text_hash"), c(text).alias("text")).where(
+        F.col("text").rlike(CANDIDATE) | F.col("text").rlike(MAY_ASSIGN))
     rows = rows.select("id", "text_hash", F.split("text", "[ \\t-\\r]+").alias("words"))
+
+    def beside(i):
+        return F.concat_ws(" ", F.get("words", i - 2), F.get("words", i - 1), F.lit(""))
+
     found = rows.select("id", "text_hash", F.explode(F.filter(F.transform("words", lambda word, i: F.when(
-        word.rlike(CANDIDATE), F.struct(i.alias("place"), word.alias("word"), F.concat_ws(
-            " ", F.get("words", i - 2), F.get("words", i - 1), F.lit("")).alias("left"),
-            F.coalesce(F.get("words", i + 1), F.lit("")).alias("right")))), lambda x: x.isNotNull())).alias("x"))
+        word.rlike(CANDIDATE) | (F.concat(F.coalesce(F.get("words", i - 1), F.lit("")), word).rlike("[=:]") & F.concat(beside(i), word).rlike(ASSIGNED)),
+        F.struct(i.alias("place"), word.alias("word"), beside(i).alias("left"),
+                 F.coalesce(F.get("words", i + 1), F.lit("")).alias("right")))), lambda x: x.isNotNull())).alias("x"))
     # A word may hold several candidates; each has the rest of the word and the neighbours beside it.
-    found = found.select("id", "text_hash", "x.*").distinct().select(
-        "*", F.explode(F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), 1)).alias("candidate"))
+    found = found.select("id", "text_hash", "x.*").distinct().withColumns({
+        "runs": F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), 1),
+        "values": F.array_distinct(F.regexp_extract_all(F.concat("left", "word"), F.lit(ASSIGNED), 1))})
+    alone = F.filter("runs", lambda run: ~F.exists("values", lambda value: F.contains(value, run)))
+    values = F.filter("values", lambda value: ~F.exists("runs", lambda run: F.contains(run, value) & (run != value)))
+    found = found.select("*", F.explode(F.concat(alone, values)).alias("candidate"))
     return found.select(
         "id", "text_hash", "place", F.concat("left", F.expr("substring(word, 1, locate(candidate, word) - 1)")).alias("before"), "candidate",
         F.concat(F.expr("substring(word, locate(candidate, word) + length(candidate))"), F.lit(" "), "right").alias("after"))
@@ -175,7 +208,9 @@ def masked(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str
            broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
     """``docs`` with each secret replaced by ``MASK``, and the column ``length``, if there is one, brought up to date."""
     joined = _with_found(docs, key, text, _per_text(docs.select(c(key), c(text)), key, text, findings), broadcast_docs)
-    clean = F.aggregate("_found", c(text), lambda body, secret: F.replace(body, secret, F.lit(MASK)))
+    # Longer ones first: a secret may hold another.
+    longest = F.reverse(F.array_sort(F.transform("_found", lambda x: F.struct(F.length(x).alias("n"), x.alias("secret")))))
+    clean = F.aggregate(longest, c(text), lambda body, x: F.replace(body, x["secret"], F.lit(MASK)))
     changed = F.coalesce(F.col("_secrets") > 0, F.lit(False))
     body = F.when(changed, clean).otherwise(c(text))
     out = joined.withColumn("_clean", body)

@@ -35,6 +35,20 @@ def test_findings_of_made_documents(spark):
     assert sorted(map(str, s.scanned(docs(spark), broadcast_docs=0).collect())) == sorted(map(str, rows))
 
 
+def test_values_that_key_words_assign(spark):
+    """Short ones, ones without a digit and ones with other characters; words that follow a key word in prose are none."""
+    secrets = {1: ('password = "Xy7!kd92"', "Xy7!kd92"), 2: ("pwd=hunter22", "hunter22"), 3: ("my secret: qhzwmrtkvbnpxldgfjcy then", "qhzwmrtkvbnpxldgfjcy"),
+               4: ("{'passphrase': 'correcthorsebatterystaple'}", "correcthorsebatterystaple"), 5: ("PASSWD := aB3$zz9Q!kP0, and", "aB3$zz9Q!kP0"),
+               6: (f'token="{HEX[:20]}.{HEX[20:]}$"', f"{HEX[:20]}.{HEX[20:]}$")}
+    prose = ["the key: something else", "token: string", "password: required for all", "the secret = information", "Private: members only", "a password of mine", "key: a"]
+    docs = spark.createDataFrame([(i, f"some words {t} and more") for i, (t, _) in secrets.items()] + [(100 + i, t) for i, t in enumerate(prose)],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: r["secrets"] for r in s.scanned(docs).collect()}
+    assert got == {i: [secret] for i, (_, secret) in secrets.items()} | {100 + i: [] for i in range(len(prose))}
+    text = {r["doc_id"]: r["text"] for r in s.masked(docs).collect()}
+    assert all(text[i] == f"some words {t.replace(secret, s.MASK)} and more" for i, (t, secret) in secrets.items())
+
+
 def test_masking(spark):
     out = s.masked(docs(spark))
     assert out.columns == docs(spark).columns
