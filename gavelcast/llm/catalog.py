@@ -11,7 +11,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import runtime
-from . import decontaminate, ngram_join, passages, pieces, quality_model, quality_rules, secret_scan, token_counts, url_filter, warc
+from . import (
+    decontaminate, hard_negatives, ngram_join, passages, pieces, quality_model, quality_rules, secret_scan, token_counts,
+    url_filter, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,6 +149,36 @@ def op9_secret_scan(spark, sf_dir):
     return secret_scan.scanned(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+SQL["op13_hard_negatives"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+         cast(list_sum(list_transform(list_zip(a.q, r.q), lambda p: p[1] * p[2])) as bigint) as score
+  from v a join v r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+p as (
+  select * from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select * from (
+  select p.anchor_id, p.vec_id as positive_id,
+         cast(row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as int) as rank,
+         s.vec_id as negative_id, p.score as positive_score, s.score as negative_score
+  from p join s on s.anchor_id = p.anchor_id and not s.same
+    and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score)
+where rank <= 5
+"""
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES if name != "pipeline")
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(catalog.QUERIES) <= set(contract.queries()) and set(catalog.SQL) <= set(contract.oracle_sql())
 
 
