@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import runtime
 from . import (
-    decontaminate, hard_negatives, ngram_join, passages, pieces, quality_model, quality_rules, secret_scan, token_counts,
-    url_filter, warc,
+    decontaminate, hard_negatives, ngram_join, passages, pieces, quality_model, quality_rules, secret_scan, spelling,
+    token_counts, url_filter, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +149,11 @@ def op9_secret_scan(spark, sf_dir):
     return secret_scan.scanned(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling(spark, sf_dir):
+    return spelling.grouped(table(spark, sf_dir, "documents"), damage_every=97)
+
+
 @query
 def op13_hard_negatives(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
