@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import runtime
 from . import (
-    decontaminate, hard_negatives, ngram_join, passages, pieces, quality_model, quality_rules, secret_scan, spelling,
-    token_counts, url_filter, warc,
+    decontaminate, hard_negatives, licenses, ngram_join, passages, pieces, quality_model, quality_rules,
+    secret_scan, spelling, token_counts, url_filter, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +154,13 @@ def op11_spelling(spark, sf_dir):
     return spelling.grouped(table(spark, sf_dir, "documents"), damage_every=97)
 
 
+@query
+def op12_licenses(spark, sf_dir):
+    documents = runtime.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return licenses.scan(documents).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections")
+
+
 @query
 def op13_hard_negatives(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
