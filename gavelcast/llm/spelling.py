@@ -13,7 +13,7 @@ that has got too many words, letters or searches is cut in pieces that meet all
 only thing broadcast, at most ``SAMPLE`` / 16 leaves.
 
 Defined cases. A null text has no words. A null id counts as an empty string in the checksum. Texts and words may have any
-length; counting takes memory for ``HELD`` words or ``LETTERS`` letters. Repeated rows are counted each. Ties among near
+length; a task counts at most ``LETTERS`` letters, or ``HELD`` words, besides one text before it passes them on. Repeated rows are counted each. Ties among near
 words of equal counts go to the first in code-point order. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -23,6 +23,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,15 @@ LETTERS_OF_A_WORD = "a-zÀ-ÿ"
 DIMENSIONS = 90
 #: Words of a cell, and of a bucket of its tree.
 LEAF = 4096
-BUCKET = 48
+BUCKET = 64
 #: Words from which the trees of cells are fitted.
 SAMPLE = 1 << 16
 #: Searches of a cell that one task takes, and letters of its words.
 SEARCHES = 1 << 16
 CELL_LETTERS = LEAF * 64
-#: Distinct words and letters that a counting task holds.
+#: Distinct words that a counting task holds, and letters of text it counts before it passes them on.
 HELD = 1 << 18
-LETTERS = 1 << 24
+LETTERS = 1 << 26
 #: Numbers compared at once.
 NUMBERS = 1 << 22
 #: A search of the own length may add one letter and take one; of the next length, add one.
@@ -61,23 +62,27 @@ def damaged(run: str, checksum: int, every: int) -> str:
 
 def _counted(batches: Iterator[pa.RecordBatch], least: int, every: int | None) -> Iterator[pa.RecordBatch]:
     runs = re.compile(f"[{LETTERS_OF_A_WORD}]{{{least},}}")
-    counts, letters = Counter(), 0
+    counts, seen = {}, 0
 
     def flush():
         words = pa.array(list(counts), pa.string())
         return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), pc.ascii_lower(batch.column(1))):
+        for key, text in zip(batch.column(0).to_pylist(), pc.ascii_lower(batch.column(1)).to_pylist()):
+            if not text:
+                continue
             start = zlib.crc32(f"{key}:".encode())
-            for run, n in Counter(runs.findall(text.as_py() or "")).items():
-                word = damaged(run, zlib.crc32(run.encode(), start), every) if every else run
-                if len(word) >= least:
-                    letters += len(word) if word not in counts else 0
-                    counts[word] += n
-            if len(counts) > HELD or letters > LETTERS:
+            for word, n in Counter(runs.findall(text)).items():
+                if every:
+                    word = damaged(word, zlib.crc32(word.encode(), start), every)
+                    if len(word) < least:
+                        continue
+                counts[word] = counts.get(word, 0) + n
+            seen += len(text)
+            if len(counts) > HELD or seen > LETTERS:
                 yield flush()
-                counts, letters = Counter(), 0
+                counts, seen = {}, 0
     if counts:
         yield flush()
 
@@ -110,34 +115,31 @@ def letter_counts(codes: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """A k-d tree: nodes with a box each; leaves hold rows of ``vectors``.
-
-    ``tight`` boxes are those of the vectors themselves. Otherwise they are the half spaces of the cuts, which hold
-    also for vectors the tree was not built from.
-    """
+    """A k-d tree: a node cuts the box it stands for at a value of one count; leaves hold rows of ``vectors``."""
 
-    def __init__(self, vectors: np.ndarray, bucket: int, tight: bool):
-        self.low, self.high, self.cut, self.below, self.rows = [], [], [], [], []
+    def __init__(self, vectors: np.ndarray, bucket: int):
+        # Of each node: the count that is cut, the last value to the left, and the node's own bounds of that count.
+        self.cut: list[tuple[int, int, int, int] | None] = []
+        self.below: list[list[int]] = []
+        self.rows: list[np.ndarray | None] = []
         width = vectors.shape[1]
-        top = np.iinfo(vectors.dtype).max // 2
-        stack = [(np.arange(len(vectors)), np.zeros(width, vectors.dtype), np.full(width, top, vectors.dtype), None)]
+        most = np.iinfo(vectors.dtype).max // 2
+        stack = [(np.arange(len(vectors)), np.zeros(width, np.int64), np.full(width, most, np.int64), None)]
         while stack:
             rows, low, high, parent = stack.pop()
             number, own = len(self.cut), vectors[rows]
             if parent is not None:
                 self.below[parent[0]][parent[1]] = number
-            least, most = (own.min(axis=0), own.max(axis=0)) if len(rows) else (low, high)
-            self.low.append(least if tight else low)
-            self.high.append(most if tight else high)
             self.below.append([-1, -1])
-            if len(rows) <= bucket or (least == most).all():
+            spread = own.var(axis=0) if len(rows) > bucket else np.zeros(1)
+            dimension = int(spread.argmax())
+            if not spread[dimension]:
                 self.cut.append(None)
                 self.rows.append(rows)
                 continue
-            dimension = int(own.var(axis=0).argmax())
             at = int(np.floor(own[:, dimension].mean()))
             left = own[:, dimension] <= at
-            self.cut.append((dimension, at))
+            self.cut.append((dimension, at, int(low[dimension]), int(high[dimension])))
             self.rows.append(None)
             under, over = high.copy(), low.copy()
             under[dimension], over[dimension] = at, at + 1
@@ -145,31 +147,43 @@ class Tree:
             stack.append((rows[~left], over, high, (number, 1)))
 
     def reached(self, vectors: np.ndarray, up: int, down: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Leaves with the rows of ``vectors`` that adding ``up`` and taking ``down`` letters can bring into their boxes."""
-        stack = [(0, np.arange(len(vectors)))]
+        """Leaves with the rows of ``vectors`` that adding ``up`` and taking ``down`` letters can bring into their boxes.
+
+        The letters that a row lacks for a box, or has too many, are kept up to date by the one count that a cut changes.
+        """
+        nothing = np.zeros(len(vectors), np.int64)
+        stack = [(0, np.arange(len(vectors)), nothing, nothing)]
         while stack:
-            node, rows = stack.pop()
-            own = vectors[rows]
-            near = ((np.maximum(self.low[node] - own, 0).sum(axis=1) <= up)
-                    & (np.maximum(own - self.high[node], 0).sum(axis=1) <= down))
-            rows = rows[near]
-            if not len(rows):
-                continue
+            node, rows, lacking, beyond = stack.pop()
             if self.cut[node] is None:
                 yield node, rows
-            else:
-                stack += [(below, rows) for below in self.below[node]]
+                continue
+            dimension, at, low, high = self.cut[node]
+            own = vectors[rows, dimension].astype(np.int64)
+            over = beyond - np.maximum(own - high, 0) + np.maximum(own - at, 0)
+            under = lacking - np.maximum(low - own, 0) + np.maximum(at + 1 - own, 0)
+            for below, near, lacks, exceeds in ((self.below[node][0], over <= down, lacking, over),
+                                                (self.below[node][1], under <= up, under, beyond)):
+                if near.any():
+                    stack.append((below, rows[near], lacks[near], exceeds[near]))
 
     def pairs(self, own: np.ndarray, vectors: np.ndarray, up: int, down: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Rows of ``vectors`` and of the tree's own that are so near in count."""
+        """Rows of ``vectors`` and of the tree's own whose counts differ by that little.
+
+        The sum of all differences is ``up - down``, since that is the difference in length. So they are within
+        reach exactly if their squares add up to at most ``up + down``, and those come from a product of matrices.
+        """
+        exact = np.float32 if own.sum(axis=1, dtype=np.int64).max(initial=0) < 2000 else np.float64
+        own, vectors = own.astype(exact), vectors.astype(exact)
+        own_squares, squares = (own * own).sum(axis=1), (vectors * vectors).sum(axis=1)
         for leaf, rows in self.reached(vectors, up, down):
             held = self.rows[leaf]
-            step = max(1, NUMBERS // (len(held) * own.shape[1]))
+            step = max(1, NUMBERS // len(held))
             for some in (rows[i:i + step] for i in range(0, len(rows), step)):
-                more = own[held][None, :, :] - vectors[some][:, None, :]
-                near = (np.maximum(more, 0).sum(axis=2) <= up) & (np.maximum(-more, 0).sum(axis=2) <= down)
-                a, b = np.nonzero(near)
-                yield some[a], held[b]
+                shared = vectors[some] @ own[held].T
+                a, b = np.nonzero(2 * shared >= squares[some][:, None] + (own_squares[held] - (up + down))[None, :])
+                if len(a):
+                    yield some[a], held[b]
 
 
 def one_edit(short: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -205,59 +219,56 @@ class _Cell:
     """The words of one cell, in a tree once the first search arrives."""
 
     def __init__(self):
-        self.words, self.n, self.tree = [], [], None
+        self.parts, self.tree = [], None
 
-    def search(self, words: list[str], n: list[int], kind: int, length: int):
+    def search(self, words: pa.Array, n: pa.Array, kind: int, length: int) -> Iterator[list[pa.Array]]:
         """Near pairs ``(word, near, count of near)``; from a shorter word, in both directions."""
-        if not self.words:
+        if not self.parts:
             return
         if self.tree is None:
-            self.letters = letters(self.words, length)
+            self.words, self.n = (pa.concat_arrays([part[i] for part in self.parts]) for i in range(2))
+            self.letters = letters(self.words.to_pylist(), length)
             self.vectors = letter_counts(self.letters)
-            self.tree = Tree(self.vectors, BUCKET, tight=True)
-        asked = letters(words, length - (kind == 2))
-        for a, b in self.tree.pairs(self.vectors, letter_counts(asked).astype(self.vectors.dtype), *REACH[kind]):
-            step = max(1, NUMBERS // length)
-            for i in range(0, len(a), step):
-                some, held = a[i:i + step], b[i:i + step]
-                near = one_edit(asked[some], self.letters[held])
-                for x, y in zip(some[near].tolist(), held[near].tolist()):
-                    yield words[x], self.words[y], self.n[y]
-                    if kind == 2:
-                        yield self.words[y], words[x], n[x]
+            self.tree = Tree(self.vectors, BUCKET)
+        asked = letters(words.to_pylist(), length - (kind == 2))
+        some, held, waiting = [], [], 0
+        for a, b in chain(self.tree.pairs(self.vectors, letter_counts(asked), *REACH[kind]), [(None, None)]):
+            if a is not None:
+                some.append(a)
+                held.append(b)
+                waiting += len(a)
+            if waiting and (a is None or waiting * length > NUMBERS):
+                x, y = self._verified(asked, np.concatenate(some), np.concatenate(held), max(1, NUMBERS // length))
+                some, held, waiting = [], [], 0
+                x, y = pa.array(x), pa.array(y)
+                yield [words.take(x), self.words.take(y), self.n.take(y)]
+                if kind == 2:
+                    yield [self.words.take(y), words.take(x), n.take(x)]
+
+    def _verified(self, asked: np.ndarray, a: np.ndarray, b: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+        near = [one_edit(asked[a[i:i + step]], self.letters[b[i:i + step]]) for i in range(0, len(a), step)]
+        near = np.concatenate(near)
+        return a[near], b[near]
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Near pairs from the rows of cells, each cell's words before its searches."""
-    key, cell, found = None, _Cell(), []
-
-    def flush():
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string()),
-             pa.array([x[2] for x in found], pa.int64())], ["word", "near", "near_n"])
-
+    key, cell = None, _Cell()
     for batch in batches:
         marks = np.column_stack([np.asarray(batch.column(i)) for i in range(5)])
         starts = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]).any(axis=1)]) if len(marks) else []
         for start, end in zip(starts, [*starts[1:], len(marks)]):
-            length, _, _, _, kind = (int(x) for x in marks[start])
+            length, kind = int(marks[start][0]), int(marks[start][4])
             if key != tuple(marks[start][:4]):
                 key, cell = tuple(marks[start][:4]), _Cell()
-            part = batch.slice(start, end - start)
-            words, n = part.column(5).to_pylist(), part.column(6).to_pylist()
+            words, n = (batch.column(i).slice(start, end - start) for i in (5, 6))
             if kind == 0:
-                cell.words += words
-                cell.n += n
+                cell.parts.append((words, n))
                 continue
             step = max(1, NUMBERS // max(length, DIMENSIONS))
             for i in range(0, len(words), step):
-                for pair in cell.search(words[i:i + step], n[i:i + step], kind, length):
-                    found.append(pair)
-                    if len(found) >= 1 << 16:
-                        yield flush()
-                        found = []
-    if found:
-        yield flush()
+                for found in cell.search(words.slice(i, step), n.slice(i, step), kind, length):
+                    yield pa.RecordBatch.from_arrays(found, ["word", "near", "near_n"])
 
 
 def cell_trees(words: DataFrame) -> dict[int, Tree]:
@@ -271,7 +282,7 @@ def cell_trees(words: DataFrame) -> dict[int, Tree]:
     by_length = defaultdict(list)
     for row in sample.select("word").toLocalIterator():
         by_length[len(row["word"])].append(row["word"])
-    return {length: Tree(letter_counts(letters(own, length)), max(16, LEAF // share), tight=False)
+    return {length: Tree(letter_counts(letters(own, length)), max(16, LEAF // share))
             for length, own in by_length.items()}
 
 
