@@ -22,6 +22,7 @@ def main() -> None:
             command.add_argument("--exact", action="store_true", help="splits of exact sizes")
         if name == "tune":
             command.add_argument("--trials", type=int, default=50)
+            command.add_argument("--method", choices=sorted(workflow.SEARCHES), default="halving")
         if name == "score":
             command.add_argument("--key", action="append", default=[], help="column to carry along")
             command.add_argument("--to", required=True, help="folder of the scored parquet")
@@ -35,7 +36,7 @@ def main() -> None:
         outcome.segments.show(truncate=False)
         outcome.summary.show(truncate=False)
     elif args.command == "tune":
-        _, best = workflow.tune_boosting(sales, output=args.output, exact=args.exact, n_trials=args.trials)
+        _, best = workflow.tune_boosting(sales, output=args.output, exact=args.exact, method=args.method, n_trials=args.trials)
         best.show(truncate=False)
     else:
         scored = workflow.score(

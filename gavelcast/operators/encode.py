@@ -12,8 +12,8 @@ from ..params import FILL_TEXT, RARE_BELOW, RARE_TEXT
 from ..runtime import materialize
 from .lookup import BROADCAST_BYTES, LookupTable, attach
 
-# One plan column is built per kept level, so their number must fit a plan.
-MAX_DUMMIES = 20_000
+# One plan column is built per kept level, so their number must fit a plan. More levels go to ``sparse``.
+COLUMN_LEVELS = 2_000
 # Stands for "no feature" in the table of target means.
 ALL_ROWS = "(all rows)"
 
@@ -142,27 +142,40 @@ def fit_onehot(
     features: Sequence[str],
     rare_below: int = RARE_BELOW,
     null_as: str = "reference",
-    max_dummies: int = MAX_DUMMIES,
 ) -> OneHot:
     """Choose the dummy columns. The first level in sort order is the baseline for good,
     so that encoding a row never depends on which other rows are in the frame.
 
-    Every dummy is a column of the plan, so more than ``max_dummies`` levels raise; none is dropped."""
+    Every dummy is a column of the plan, so more than ``COLUMN_LEVELS`` levels raise; none is dropped.
+    ``sparse.fit_levels`` has no such bound."""
     features = [f for f in features if f in df.columns]
     if not features:
         return OneHot({}, {}, null_as)
     counts = materialize(level_counts(df, features), "levels")
+    if not fits_columns(counts, rare_below):
+        raise ValueError(f"more than {COLUMN_LEVELS} one-hot columns; encode them as a sparse vector instead")
+    return onehot_from(counts, features, rare_below, null_as)
+
+
+def _frequent(counts: DataFrame, rare_below: int) -> DataFrame:
+    return counts.where(F.col("level").isNotNull() & (F.col("n") >= rare_below))
+
+
+def fits_columns(counts: DataFrame, rare_below: int = RARE_BELOW) -> bool:
+    return _frequent(counts, rare_below).limit(COLUMN_LEVELS + 1).count() <= COLUMN_LEVELS
+
+
+def onehot_from(
+    counts: DataFrame, features: Sequence[str], rare_below: int = RARE_BELOW, null_as: str = "reference"
+) -> OneHot:
+    """``fit_onehot`` from a stored table of level counts that fits columns."""
     rare = F.col("level").isNotNull() & (F.col("n") < rare_below)
     flags = {
         r["feature"]: r
         for r in counts.groupBy("feature").agg(
             F.max(F.col("level").isNull()).alias("nulls"), F.max(rare).alias("rare")).collect()
     }
-    frequent = counts.where(F.col("level").isNotNull() & (F.col("n") >= rare_below))
-    found = frequent.select("feature", "level").limit(max_dummies + 1).collect()
-    if len(found) > max_dummies:
-        raise ValueError(
-            f"more than {max_dummies} one-hot columns; target-encode the widest features instead")
+    found = _frequent(counts, rare_below).select("feature", "level").collect()
     kept = {f: sorted(r["level"] for r in found if r["feature"] == f) for f in features}
     dummies = {}
     for f in features:

@@ -166,18 +166,31 @@ def worst(
     return top.select(*tie_break, *[F.round(name, digits).alias(name) for name in figures])
 
 
-def feature_importance(spark, model, features: Sequence[str], top_n: int = 20) -> DataFrame | None:
-    """Top features by normalised impurity gain (trees) or absolute coefficient (linear)."""
+def feature_importance(
+    spark, model, features: Sequence[str] | DataFrame, top_n: int = 20
+) -> DataFrame | None:
+    """Top features by normalised impurity gain (trees) or absolute coefficient (linear).
+
+    ``features`` are names in order, or a table ``(position, feature)`` where there are too many for a list.
+    """
     if hasattr(model, "featureImportances"):
-        weights = model.featureImportances.toArray().tolist()
+        weights = model.featureImportances.toArray()
     elif hasattr(model, "coefficients"):
-        weights = [abs(v) for v in model.coefficients.toArray().tolist()]
+        weights = abs(model.coefficients.toArray())
     else:
         return None
-    weights += [0.0] * (len(features) - len(weights))
-    schema = T.StructType([T.StructField("feature", T.StringType()),
-                           T.StructField("importance", T.DoubleType())])
-    table = spark.createDataFrame(list(zip(features, weights)), schema)
+    # Only positions that can be among the first: the least of them may be shared by many.
+    least = sorted(weights, reverse=True)[:top_n][-1] if len(weights) else 0.0
+    found = [(i, float(w)) for i, w in enumerate(weights) if w >= least]
+    if not isinstance(features, DataFrame):
+        names = list(features)
+        # A model of trees knows no feature behind the last it uses.
+        found += [(i, 0.0) for i in range(len(weights), len(names))]
+        table = spark.createDataFrame([(names[i], w) for i, w in found], "feature string, importance double")
+    else:
+        table = spark.createDataFrame(found, "position long, importance double")
+        table = features.join(table, "position", "left" if not least else "inner").select(
+            "feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
     return table.orderBy(F.desc("importance"), "feature").limit(top_n)
 
 

@@ -6,6 +6,7 @@ themselves come from a single grouped pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,6 +17,9 @@ from . import evaluate
 
 # exp(-z*z/2) is exactly 0 in double arithmetic beyond this many bandwidths.
 KERNEL_REACH = 39.0
+# Width of the cells of a density in bandwidths, and terms of the kernel's series in a cell.
+KDE_CELL = 1 / 16
+KDE_TERMS = 14
 
 
 def _present(df: DataFrame, column: str) -> DataFrame:
@@ -57,12 +61,31 @@ def histogram(df: DataFrame, column: str, bins: int = PRICE_BINS) -> DataFrame:
     )
 
 
+def _hermite(terms: int) -> list[list[int]]:
+    """Coefficients of the (probabilists') Hermite polynomials up to a degree, lowest power first."""
+    out = [[1], [0, 1]]
+    for k in range(1, terms):
+        up, down = [0, *out[k]], [*out[k - 1], 0, 0]
+        out.append([a - k * b for a, b in zip(up, down)])
+    return out[:terms + 1]
+
+
+def _polynomial(coefficients: Sequence[int], at: Column) -> Column:
+    value = F.lit(float(coefficients[-1]))
+    for coefficient in reversed(coefficients[:-1]):
+        value = value * at + F.lit(float(coefficient))
+    return value
+
+
 def kde(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataFrame:
     """Gaussian density on an even grid, Scott bandwidth: ``(point, x, density)`` for every point.
 
-    Equal values are merged first. Each value then adds only to the grid points its
-    kernel reaches; the rest would add an exact zero. Partial sums per grid point leave
-    at most ``points`` rows per task for the shuffle.
+    Values are gathered in cells ``KDE_CELL`` bandwidths wide, each kept as its count and the sums of the powers of the
+    distance from its centre: one partial aggregation of as many rows as there are cells, whatever the number of
+    values. A cell then adds to the points its kernel reaches, by the Hermite series of the kernel about the centre.
+    With ``t = KDE_CELL / 2`` the first term left out is below ``1.09 * t ** 15 / sqrt(15!)`` of the kernel's peak, that is
+    3e-29, and at ``u`` bandwidths about ``(u * t) ** 15 / 15!`` of the kernel there, 2e-11 at the far end of its reach: the
+    error is that of double arithmetic near the values and stays small beside the density far from them.
     """
     values = _present(df, column)
     s = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"),
@@ -72,23 +95,35 @@ def kde(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataFrame:
     low, n = s["lo"], s["n"]
     step = (s["hi"] - low) / (points - 1)
     width = s["sd"] * n ** (-1 / 5)
-    reach = KERNEL_REACH * width
-
-    offset = F.col("x") - F.lit(low)
-    first = F.greatest(F.lit(0), F.ceil((offset - F.lit(reach)) / F.lit(step)))
-    last = F.least(F.lit(points - 1), F.floor((offset + F.lit(reach)) / F.lit(step)))
-    z = (F.lit(low) + F.col("point") * F.lit(step) - F.col("x")) / F.lit(width)
-    scale = n * width * (2 * 3.141592653589793) ** 0.5
-    weighted = values.groupBy("x").agg(F.count("x").alias("copies"))
+    reach = (KERNEL_REACH + KDE_CELL) * width
+    side = KDE_CELL * width
+
+    cell = F.floor((F.col("x") - F.lit(low)) / F.lit(side))
+    placed = values.select("x", cell.alias("cell")).select(
+        "cell", ((F.col("x") - F.lit(low) - (F.col("cell") + 0.5) * F.lit(side)) / F.lit(width)).alias("t"))
+    powers = [F.lit(1.0)]
+    for _ in range(KDE_TERMS):
+        powers.append(powers[-1] * F.col("t"))
+    moments = placed.groupBy("cell").agg(*[
+        (F.sum(power) / math.factorial(k)).alias(f"m{k}") for k, power in enumerate(powers)])
+
+    centre = (F.col("cell") + 0.5) * F.lit(side)
+    first = F.greatest(F.lit(0), F.ceil((centre - F.lit(reach)) / F.lit(step)))
+    last = F.least(F.lit(points - 1), F.floor((centre + F.lit(reach)) / F.lit(step)))
     # Between two points of a coarse grid a narrow kernel reaches none.
     reached = F.when(first <= last, F.sequence(first, last, F.lit(1).cast("long")))
-    spread = weighted.select("x", "copies", F.explode(reached).alias("point"))
+    spread = moments.select("*", F.explode(reached).alias("point"))
+    spread = spread.withColumn("u", (F.col("point") * F.lit(step) - centre) / F.lit(width))
+    series = F.lit(0.0)
+    for k, coefficients in enumerate(_hermite(KDE_TERMS)):
+        series = series + F.col(f"m{k}") * _polynomial(coefficients, F.col("u"))
+    scale = n * width * (2 * math.pi) ** 0.5
     density = spread.groupBy("point").agg(
-        (F.sum(F.col("copies") * F.exp(z * z * F.lit(-0.5))) / F.lit(scale)).alias("density"))
+        (F.sum(series * F.exp(F.col("u") * F.col("u") * F.lit(-0.5))) / F.lit(scale)).alias("density"))
     grid = df.sparkSession.range(points).select(F.col("id").alias("point"))
     return grid.join(density, "point", "left").select(
         F.col("point").cast("int").alias("point"), (F.lit(low) + F.col("point") * F.lit(step)).alias("x"),
-        F.coalesce("density", F.lit(0.0)).alias("density"))
+        F.greatest(F.coalesce("density", F.lit(0.0)), F.lit(0.0)).alias("density"))
 
 
 def summary(df: DataFrame, column: str, final_rows: int = FINAL_ROWS) -> DataFrame:

@@ -9,20 +9,18 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    GBTRegressionModel, GBTRegressor, LinearRegression,
-)
+from pyspark.ml.regression import GBTRegressionModel, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..params import BOOSTING_PARAMS, PATIENCE, RIDGE_PARAMS, SEED
-from ..runtime import checkpoints
-from . import evaluate
+from . import conjugate, evaluate
+from .boosting import BLOCK, FEATURES, LABEL, Boosting, patience_rule
 
-FEATURES = "features"
-LABEL = "label"
 # Settings of leaf-wise or penalised trees, which MLlib's level-wise trees do not have.
 UNSUPPORTED = ("reg_alpha", "reg_lambda", "num_leaves")
 DEEPEST = 30
+# MLlib's normal solver refuses more.
+NORMAL_FEATURES = 4096
 
 # Published settings as far as MLlib has them. A level-wise tree of at most 137 leaves is
 # one of depth 7, so the published depth of 15, which the leaves bound there, becomes 7.
@@ -51,8 +49,8 @@ class Fitted:
         return model.transform(df)
 
     def stages(self) -> PipelineModel:
-        """Assembler and regressor as one saveable transformer."""
-        return PipelineModel(stages=[assembler(self.features), self.model])
+        """Assembler, unless the features come as a vector, and regressor as one saveable transformer."""
+        return PipelineModel(stages=[*([assembler(self.features)] if self.features else []), self.model])
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -65,15 +63,25 @@ def assemble(df: DataFrame, features: Sequence[str], label: str, carry: Sequence
     return rows.select(FEATURES, F.col(label).cast("double").alias(LABEL), *carry)
 
 
+def feature_count(train: DataFrame) -> int:
+    """Length of the feature vectors."""
+    first = train.select(FEATURES).first()
+    return first[0].size if first else 0
+
+
 def ridge(
     train: DataFrame, features: Sequence[str], alpha: float = RIDGE_PARAMS["alpha"]
 ) -> Fitted:
     """Least squares with an ``alpha * |w|^2`` penalty; the intercept is free.
 
     MLlib scales the label and averages the loss, so its ``regParam`` is
-    ``alpha * std(label) / n``. Normal equations need one pass over the rows.
+    ``alpha * std(label) / n``. Normal equations need one pass over the rows, but a square of the
+    features on the driver; beyond ``NORMAL_FEATURES`` of them conjugate gradients take over.
     """
     start = time.time()
+    if feature_count(train) > NORMAL_FEATURES:
+        model = conjugate.ridge(train, FEATURES, LABEL, alpha)
+        return Fitted("ridge", model, list(features), time.time() - start)
     stats = train.agg(F.count(LABEL).alias("n"), F.stddev_pop(LABEL).alias("sd")).first()
     regressor = LinearRegression(
         featuresCol=FEATURES, labelCol=LABEL, solver="normal", standardization=False,
@@ -112,14 +120,12 @@ def boosting_arguments(params: dict) -> dict:
     return out
 
 
-def learning_curve(model: GBTRegressionModel, validation: DataFrame, run: str) -> DataFrame:
+def learning_curve(spark: SparkSession, errors: Sequence[float], run: str) -> DataFrame:
     """``(model, iteration, rmse)`` on the log scale, one row per round."""
-    errors = model.evaluateEachIteration(validation.select(FEATURES, LABEL), "squared")
     schema = T.StructType([
         T.StructField("model", T.StringType()), T.StructField("iteration", T.IntegerType()),
         T.StructField("rmse", T.DoubleType())])
-    rows = [(run, i + 1, math.sqrt(e)) for i, e in enumerate(errors)]
-    return validation.sparkSession.createDataFrame(rows, schema)
+    return spark.createDataFrame([(run, i, float(e)) for i, e in enumerate(errors, 1)], schema)
 
 
 def best_iteration(curve: DataFrame, patience: int, by: Sequence[str] = ("model",)) -> DataFrame:
@@ -153,38 +159,29 @@ def boosted_trees(
     features: Sequence[str],
     params: dict | None = None,
     patience: int = PATIENCE,
-    first_rounds: int | None = None,
+    block: int = BLOCK,
     key: str = "boosted_trees",
+    warm: GBTRegressionModel | None = None,
 ) -> Fitted:
     """Boost until validation RMSE has not improved for ``patience`` rounds, or to the cap ``n_estimators``.
 
-    The length of a run has to be told to MLlib in advance. The first has ``first_rounds`` (twice the
-    patience by default), and while the rule has not ended the curve the next is twice as long.
-    So a high cap costs nothing, and all runs together at most twice the last. The winner is
-    fitted with as many rounds as were best: its trees are the first ones of the long run, as
-    each depends only on those before it, the rows and the seed. ``train`` should be persisted.
+    Rounds are fitted in blocks and the rule is checked after each, so a high cap costs nothing and a run goes
+    less than one block too far. The winner is the first trees of the run; nothing is fitted again. With ``warm``
+    the rounds continue that model, and rounds count from it.
     """
     start = time.time()
     arguments = boosting_arguments({**BOOSTING_DEFAULTS, **(params or {})})
     cap = arguments.pop("maxIter")
-    checkpoints(train.sparkSession)
-
-    def fit(rounds):
-        return GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, maxIter=rounds, checkpointInterval=10,
-                            **arguments).fit(train)
-
-    rounds = min(cap, first_rounds or 2 * patience)
+    run = Boosting(train, validation, [arguments], warm=warm)
     while True:
-        model = fit(rounds)
-        curve = learning_curve(model, validation, key)
-        verdict = best_iteration(curve, patience).first()
-        if verdict["stopped"] or rounds >= cap:
+        rounds = min(block, cap - len(run.errors[0]))
+        run.advance([0], rounds, last=len(run.errors[0]) + rounds >= cap)
+        best, _, last, stopped = patience_rule(run.errors[0], patience)
+        if stopped or len(run.errors[0]) >= cap:
             break
-        rounds = min(cap, rounds * 2)
-    best = verdict["best_iteration"]
-    kept = curve.where(F.col("iteration") <= verdict["last"])
-    chosen = model if best == rounds else fit(best)
-    return Fitted(key, chosen, list(features), time.time() - start, kept, best, bool(verdict["stopped"]))
+    run.close()
+    return Fitted(key, run.model(0, best), list(features), time.time() - start,
+                  learning_curve(train.sparkSession, run.errors[0][:last], key), best, stopped)
 
 
 Trainer = Callable[[DataFrame, DataFrame, Sequence[str], dict], Fitted]

@@ -124,8 +124,6 @@ class Settings:
     min_year: int = MIN_YEAR
     rare_below: int = RARE_BELOW
     null_as: str = "reference"
-    # Levels that one-hot encoding may turn into columns, over all features; more raise.
-    max_dummies: int = 20_000
     split_key: str = "Sales ID"
     split_ratios: tuple[float, float, float] = SPLIT_RATIOS
     seed: int = SEED

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import runtime
 from ..functions import columns as fx
 from ..functions.columns import c
-from ..operators import encode, evaluate, impute, plotdata, schema, split, train, tune
+from ..operators import (
+    conjugate, encode, evaluate, impute, plotdata, schema, sparse, split, train, tune,
+)
 from ..operators.features import engineer, sale_date
 from ..operators.preprocess import Preprocessor
 from ..sources import artifacts, csv
@@ -294,6 +296,19 @@ def onehot_unknown(spark, sf_dir):
     return encode.apply_onehot(rows.drop("split"), fitted)
 
 
+WIDE = ("c_name", "class_desc", "usage_band")
+
+
+@query
+def wide_onehot(spark, sf_dir):
+    """Dummies of features with thousands of levels, as the entries of a sparse vector."""
+    rows = stored_sale(spark, sf_dir, *KEYS, *WIDE)
+    index = sparse.fit_levels(train_rows(rows), WIDE, 25)
+    made = sparse.assembled(rows.drop("split"), index, [])
+    entries = F.unwrap_udt("features")["indices"]
+    return made.select(*KEYS, F.array_join(entries.cast("array<string>"), ",").alias("entries"))
+
+
 TE_DIGITS = dict.fromkeys(S.target_encoded, 2)
 
 
@@ -439,11 +454,12 @@ def best_iteration(spark, sf_dir):
 
 # ---- models ---------------------------------------------------------------------
 
-# No cap of its own: the patience rule ends each run, early because the steps are large.
+# No cap of its own: the patience rule ends each run, earlier than the published settings would.
 QUICK_BOOST = {
-    "learning_rate": 1.0, "max_depth": 6, "min_child_samples": 20, "subsample": 1.0,
+    "learning_rate": 0.5, "max_depth": 4, "min_child_samples": 20, "subsample": 1.0,
     "colsample_bytree": 1.0, "patience": 5,
 }
+RIDGE_ALPHA = 1.0
 PLAIN_TREES = {"min_child_samples": 1, "subsample": 1.0, "colsample_bytree": 1.0}
 TWO = ["l_quantity", "l_discount"]
 
@@ -504,6 +520,56 @@ def gbt_stumps(spark, sf_dir):
     return rounded(out, 7)
 
 
+STUMPS = {**PLAIN_TREES, "n_estimators": 6, "max_depth": 1, "learning_rate": 0.5}
+
+
+def stump_rows(spark, sf_dir):
+    rows = runtime.materialize(two_feature_rows(spark, sf_dir), "stump-rows")
+    return train_rows(rows), rows.where(F.col("split") == "val")
+
+
+@query
+def gbt_rounds(spark, sf_dir):
+    """Validation error after each of six rounds of one-split trees, fitted in two blocks."""
+    known, val = stump_rows(spark, sf_dir)
+    return rounded(train.boosted_trees(known, val, TWO, STUMPS, block=4).curve, 7)
+
+
+@query
+def gbt_stump_importance(spark, sf_dir):
+    known, val = stump_rows(spark, sf_dir)
+    fitted = train.boosted_trees(known, val, TWO, STUMPS)
+    return rounded(evaluate.feature_importance(spark, fitted.model, TWO), 7)
+
+
+@query
+def train_stumps(spark, sf_dir):
+    """Every kind of model, small enough to be checked in SQL."""
+    known, val = stump_rows(spark, sf_dir)
+    run = train.train_all(known, val, TWO, "y", {"ridge": {"alpha": 1.0}, "boosted_trees": {**STUMPS, "patience": 9}})
+    return rounded(run.results.drop("train_seconds"), 5)
+
+
+STUMP_POINTS = [{**PLAIN_TREES, "max_depth": 1, "learning_rate": rate} for rate in (0.2, 0.8, 0.5)]
+
+
+@query
+def search_stumps(spark, sf_dir):
+    """Successive halving over three learning rates: two rounds of all, then six of the best."""
+    known, val = stump_rows(spark, sf_dir)
+    rows = tune.race(known, val, STUMP_POINTS, trees=6, patience=9, halve=3, first=2)
+    trials = spark.createDataFrame(rows, tune.RACE_SCHEMA)
+    return rounded(trials.select("trial", "rmse", "best_iteration", "rounds", "ended"), 7)
+
+
+@query
+def ridge_conjugate(spark, sf_dir):
+    """The ridge of two features, by conjugate gradients."""
+    known, _ = stump_rows(spark, sf_dir)
+    model = conjugate.ridge(known, train.FEATURES, train.LABEL, RIDGE_ALPHA)
+    return rounded(linear_terms(spark, train.Fitted("ridge", model, TWO)), 7)
+
+
 def model_rows(spark, sf_dir):
     """Assembled train and evaluation rows of the full preprocessing."""
     prep, parts = fitted_preprocessor(spark, sf_dir)

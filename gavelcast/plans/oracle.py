@@ -402,7 +402,8 @@ def best_split(source: str) -> str:
                    sum(c) over () as n, sum(s) over () as st
             from (select {f}, count(*) as c, sum(t) as s from {source} group by {f})
             window w as (order by {f})""" for f in ("a", "b"))
-    return f"""select f, cut, sl / nl as ml, (st - sl) / (n - nl) as mr from ({sides})
+    return f"""select f, cut, sl / nl as ml, (st - sl) / (n - nl) as mr,
+                   sl * sl / nl + (st - sl) * (st - sl) / (n - nl) - st * st / n as gain from ({sides})
                where nl < n order by sl * sl / nl + (st - sl) * (st - sl) / (n - nl) desc limit 1"""
 
 
@@ -420,6 +421,84 @@ select {K}, round({leaf("cut1")} + 0.5 * {leaf("cut2")}, 7) as log_prediction
 from rows cross join cut1 cross join cut2 where split = 'val'"""
 
 
+def boosted(rounds: int, rate: float, name: str = "s") -> str:
+    """CTEs of rounds of one-split trees: ``{name}_cut{k}``, and in ``{name}{k}`` what ``k`` rounds leave of the target."""
+    steps = [f"{name}0 as materialized (select {K}, split, a, b, sale_price, y, y as t from rows)"]
+    for k in range(1, rounds + 1):
+        cut, before = f"{name}_cut{k}", f"{name}{k - 1}"
+        train_side = f"(select * from {before} where split = 'train')"
+        steps.append(f"{cut} as materialized ({best_split(train_side)})")
+        weight = 1.0 if k == 1 else rate
+        steps.append(f"{name}{k} as materialized (select {before}.* replace (t - {weight} * ({leaf(cut)}) as t)"
+                     f" from {before} cross join {cut})")
+    return ",\n".join(steps)
+
+
+def stump_errors(rounds: int, name: str = "s", label: str = "") -> str:
+    """``(iteration, rmse)`` on the validation rows."""
+    return " union all ".join(
+        f"select {label}{k} as iteration, sqrt(avg(t * t)) as rmse from {name}{k} where split = 'val'" for k in range(1, rounds + 1))
+
+
+SQL["gbt_rounds"] = WITH_TWO + f""",
+{boosted(6, 0.5)}
+select 'boosted_trees' as model, iteration, round(rmse, 7) as rmse from ({stump_errors(6)})"""
+
+SQL["gbt_stump_importance"] = WITH_TWO + f""",
+{boosted(6, 0.5)},
+errors as ({stump_errors(6)}),
+best as (select iteration as k from errors order by rmse, iteration limit 1),
+gains as ({" union all ".join(f"select {k} as k, f, gain from s_cut{k}" for k in range(1, 7))}),
+used as (select f, gain from gains where gains.k <= (select k from best))
+select feature, round(coalesce(sum(gain), 0) / (select sum(gain) from used), 7) as importance
+from (values ('l_quantity', 'a'), ('l_discount', 'b')) names(feature, f) left join used using (f) group by feature"""
+
+SQL["train_stumps"] = WITH_TWO + RIDGE_TWO + f""",
+{boosted(6, 0.5)},
+errors as ({stump_errors(6)}),
+best as (select iteration as k from errors order by rmse, iteration limit 1),
+stumped as ({" union all ".join(f"select {k} as k, sale_price as y, exp(y - t) - 1 as prediction from s{k} where split = 'val'" for k in range(1, 7))}),
+scored as (
+  select 'ridge' as model, sale_price as y, exp(w0 + wa * a + wb * b) - 1 as prediction from rows cross join terms where split = 'val'
+  union all select 'boosted_trees', y, prediction from stumped where k = (select k from best))
+select model, {errors()} from scored group by model"""
+
+POINT_RATES = (0.2, 0.8, 0.5)
+SQL["search_stumps"] = WITH_TWO + ",\n" + ",\n".join(boosted(6, rate, f"p{i}_") for i, rate in enumerate(POINT_RATES)) + f""",
+errors as ({" union all ".join(stump_errors(6, f"p{i}_", f"{i} as trial, ") for i in range(len(POINT_RATES)))}),
+first as (select trial, min(rmse) as rmse from errors where iteration <= 2 group by trial),
+left_over as (select trial from first order by rmse, trial limit 1),
+counted as (select e.*, e.trial = l.trial as goes_on from errors e cross join left_over l),
+seen as (select * from counted where goes_on or iteration <= 2)
+select cast(trial as integer) as trial, round(min(rmse), 7) as rmse, cast(arg_min(iteration, rmse) as integer) as best_iteration,
+       cast(max(iteration) as integer) as rounds, case when bool_or(goes_on) then 'cap' else 'halved' end as ended
+from seen group by trial"""
+
+SQL["ridge_conjugate"] = SQL["ridge_two_features"]
+
+WIDE = ("c_name", "class_desc", "usage_band")
+SQL["wide_onehot"] = WITH_SPLIT + f""",
+counts as ({level_rows(WIDE)}),
+kept as (select feature, level from counts where level is not null and n >= 25),
+words as (select distinct feature, 'Other' as level from counts where level is not null and n < 25
+          union select feature, 'Unknown' from counts where level is null),
+levels as (select feature, level, row_number() over (partition by feature order by level) - 1 as position
+           from (select * from kept union select * from words)),
+widths as (select f.feature, f.place, coalesce(max(position), 0) as width
+           from (values {", ".join(f"('{f}', {i})" for i, f in enumerate(WIDE))}) f(feature, place)
+           left join levels using (feature) group by 1, 2),
+starts as (select feature, coalesce(sum(width) over (order by place rows between unbounded preceding and 1 preceding), 0) as start from widths),
+numbered as materialized (select *, row_number() over () as row_id from parted),
+cells as ({" union all ".join(f"select row_id, '{f}' as feature, coalesce({f}, 'Unknown') as level from numbered" for f in WIDE)}),
+read as (select c.*, case when k.level is null then 'Other' else c.level end as word
+         from cells c left join kept k on k.feature = c.feature and k.level = c.level),
+placed as (select row_id, start + position - 1 as entry
+           from read join levels l on l.feature = read.feature and l.level = read.word join starts on starts.feature = read.feature
+           where position > 0),
+listed as (select row_id, string_agg(cast(cast(entry as bigint) as varchar), ',' order by entry) as entries from placed group by row_id)
+select {K}, coalesce(entries, '') as entries from numbered left join listed using (row_id)"""
+
+
 def histogram_sql(source: str, x: str, bins: int) -> str:
     return f"""
 span as (select min({x}) as lo, max({x}) as hi, count({x}) as n,

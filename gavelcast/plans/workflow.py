@@ -18,6 +18,7 @@ from ..runtime import materialize
 from ..sources import artifacts, csv
 
 SPLITS = ("train", "val", "test")
+SEARCHES = {"random": tune.random_search, "halving": tune.halving_search, "parzen": tune.parzen_search}
 
 
 def load_and_split(
@@ -62,7 +63,7 @@ def run(
     prepared = prepare(df, s, exact)
     parts = splits(prepared)
     prep = Preprocessor(s).fit(parts["train"])
-    features = prep.final_columns
+    features = () if prep.wide else prep.final_columns
 
     fit_rows = training_rows(prep, parts).persist(StorageLevel.MEMORY_AND_DISK)
     judged = evaluation_rows(prep, parts).persist(StorageLevel.MEMORY_AND_DISK)
@@ -80,7 +81,7 @@ def run(
         prep, done, scores.orderBy("split", F.desc("R2")),
         evaluate.by_quantile(chosen_val), evaluate.summary(scores))
     if with_tables:
-        importance = evaluate.feature_importance(spark, best.model, features)
+        importance = evaluate.feature_importance(spark, best.model, prep.feature_names(spark))
         result.tables = plotdata.all_tables(prepared, s.target, on_test, best.key, importance)
     if output:
         save(spark, result, output)
@@ -90,18 +91,23 @@ def run(
 
 
 def training_rows(prep: Preprocessor, parts: dict[str, DataFrame]) -> DataFrame:
-    rows = prep.transform(parts["train"], is_train=True)
-    return train.assemble(rows, prep.final_columns, prep.settings.log_target)
+    return _labelled(prep, prep.vectors(parts["train"], is_train=True, output=train.FEATURES), prep.settings.log_target)
 
 
 def evaluation_rows(prep: Preprocessor, parts: dict[str, DataFrame]) -> DataFrame:
     """Validation and test rows with the untouched target as ``y``."""
     s = prep.settings
     sides = [parts[name].withColumn("split", F.lit(name)) for name in ("val", "test")]
-    rows = prep.transform(sides[0].unionByName(sides[1]), keep=["split"])
+    rows = prep.vectors(sides[0].unionByName(sides[1]), keep=["split"], output=train.FEATURES)
     rows = rows.withColumn("__log", log_target(c(s.target)))
     y = c(s.target).cast("double").alias("y")
-    return train.assemble(rows, prep.final_columns, "__log", [y, "split"])
+    return _labelled(prep, rows, "__log", [y, "split"])
+
+
+def _labelled(prep: Preprocessor, rows: DataFrame, label: str, carry: Sequence = ()) -> DataFrame:
+    """``(features, label, *carry)``; rows without a label are left out."""
+    known = rows.where(c(label).isNotNull())
+    return known.select(train.FEATURES, c(label).cast("double").alias(train.LABEL), *carry)
 
 
 def save(spark: SparkSession, outcome: Outcome, output: str) -> None:
@@ -118,15 +124,19 @@ def save(spark: SparkSession, outcome: Outcome, output: str) -> None:
 
 
 def tune_boosting(
-    df: DataFrame, settings: Settings | None = None, output: str | None = None, exact: bool = False, **search
+    df: DataFrame, settings: Settings | None = None, output: str | None = None, exact: bool = False,
+    method: str = "random", **search
 ) -> tuple[DataFrame, DataFrame]:
-    """Search boosting settings on the validation rows: all trials, and the best one."""
+    """Search boosting settings on the validation rows: all trials, and the best one.
+
+    ``method`` is a name of ``SEARCHES``; what else is given goes to that function.
+    """
     parts = splits(prepare(df, settings, exact))
     prep = Preprocessor(settings).fit(parts["train"])
     fit_rows = training_rows(prep, parts).persist(StorageLevel.MEMORY_AND_DISK)
     judged = evaluation_rows(prep, parts).where(F.col("split") == "val")
     judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
-    trials = tune.random_search(fit_rows, judged, prep.final_columns, **search)
+    trials = SEARCHES[method](fit_rows, judged, () if prep.wide else prep.final_columns, **search)
     best = tune.best_trial(trials)
     if output:
         artifacts.save_params(best, f"{output}/best_params")
@@ -143,7 +153,9 @@ def score(
     spark = df.sparkSession
     prep = artifacts.load_preprocessor(spark, preprocessor_path)
     model, _ = artifacts.load_best(spark, model_path)
-    rows = prep.transform(engineer(without_nan(df), prep.settings), keep=keep)
+    raw = engineer(without_nan(df), prep.settings)
+    # The model of a wide preprocessor takes its vectors, any other the columns they are made of.
+    rows = prep.vectors(raw, keep=keep, output=train.FEATURES) if prep.wide else prep.transform(raw, keep=keep)
     predicted = model.transform(rows)
     return predicted.select(*[c(n) for n in keep],
                             to_original_scale(F.col("prediction")).alias(column))

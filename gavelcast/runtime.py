@@ -46,8 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below one folder per application, so that folder can go when it ends."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark).rstrip('/')}/gavelcast/{application}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/gavelcast/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
@@ -60,6 +63,18 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table below this application's scratch folder that nothing reads any more.
+
+    Spark's own file system does it, so the folder may be on any store the executors share.
+    """
+    own = scratch_root(spark)
+    if not path.startswith(f"{own}/"):
+        raise ValueError(f"{path} is not below {own}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def checkpoints(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder, if no folder is set for that yet."""
     if spark.sparkContext.getCheckpointDir() is None:

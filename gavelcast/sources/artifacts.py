@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
-import time
-from dataclasses import asdict
+from datetime import datetime, timezone
+from dataclasses import asdict, fields
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators import sparse
 from ..operators.encode import OneHot, target_encoding
 from ..operators.impute import Medians, measured
 from ..operators.preprocess import Preprocessor
@@ -38,7 +39,10 @@ def save_preprocessor(spark: SparkSession, prep: Preprocessor, path: str) -> str
                     "overall": medians.overall, "has_groups": medians.grouped is not None},
         "target_encoded": list(encoding.lookups),
         "one_hot": asdict(prep.one_hot),
+        "levels": {"features": list(prep.levels.slots), "null_as": prep.levels.null_as} if prep.wide else None,
     }, f"{path}/state")
+    if prep.wide:
+        prep.levels.state.write.mode("overwrite").parquet(f"{path}/levels")
     if medians.grouped is not None:
         medians.grouped.table.write.mode("overwrite").parquet(f"{path}/group_medians")
     encoding.state.write.mode("overwrite").partitionBy("feature").parquet(f"{path}/target_means")
@@ -47,7 +51,8 @@ def save_preprocessor(spark: SparkSession, prep: Preprocessor, path: str) -> str
 
 def load_preprocessor(spark: SparkSession, path: str) -> Preprocessor:
     state = _read_json(spark, f"{path}/state")
-    settings = {k: tuple(v) if isinstance(v, list) else v for k, v in state["settings"].items()}
+    known = {field.name for field in fields(Settings)}
+    settings = {k: tuple(v) if isinstance(v, list) else v for k, v in state["settings"].items() if k in known}
     prep = Preprocessor(Settings(**settings), state["final_rows"])
     m = state["medians"]
     groups = None
@@ -58,6 +63,9 @@ def load_preprocessor(spark: SparkSession, path: str) -> Preprocessor:
         f"{path}/target_means")
     prep.target_encoding = target_encoding(means, state["target_encoded"])
     prep.one_hot = OneHot(**state["one_hot"])
+    if state.get("levels"):
+        table = spark.read.schema(sparse.STATE).parquet(f"{path}/levels")
+        prep.levels = sparse.level_index(table, state["levels"]["features"], state["levels"]["null_as"])
     prep.sources, prep.final_columns = state["sources"], state["final_columns"]
     prep.fitted = True
     return prep
@@ -69,12 +77,11 @@ def save_best(spark: SparkSession, run: TrainingRun, path: str, metric: str = MO
     figures = run.results.where(F.col("model") == best.key).first().asDict()
     best.stages().write().overwrite().save(f"{path}/model")
     _write_json(spark, {
-        "timestamp": time.strftime("%Y-%m-%d %H:%M:%S"),
-        "model_key": best.key,
-        "model_name": MODEL_NAMES.get(best.key, best.key),
-        "metrics": {k: v for k, v in figures.items() if k not in ("model", "train_seconds")},
-        "feature_names": best.features,
-        "best_iteration": best.best_iteration,
+        "saved_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
+        "model": {"key": best.key, "name": MODEL_NAMES.get(best.key, best.key), "rounds": best.best_iteration,
+                  "features": best.features},
+        "chosen_by": metric,
+        "validation": {k: v for k, v in figures.items() if k not in ("model", "train_seconds")},
     }, f"{path}/metadata")
     return path
 

@@ -70,7 +70,7 @@ def test_learning_rate_scales_the_residual(spark):
 
 def test_early_stopping_keeps_the_best_round(frames):
     rows, validation, names = frames
-    fitted = train.boosted_trees(rows, validation, names, BOOST, patience=3, first_rounds=4)
+    fitted = train.boosted_trees(rows, validation, names, BOOST, patience=3, block=4)
     curve = [r["rmse"] for r in fitted.curve.orderBy("iteration").collect()]
     assert fitted.best_iteration == int(np.argmin(curve)) + 1
     assert fitted.model.getNumTrees == fitted.best_iteration
@@ -83,7 +83,7 @@ def test_patience_ends_a_run_with_the_published_cap(spark, frames, tmp_path):
     """20,000 rounds allowed, sampled rows: the rule ends the run, and the winner is its first rounds."""
     rows, validation, names = frames
     settings = {"learning_rate": 0.6, "max_depth": 4, "subsample": 0.7, "colsample_bytree": 1.0}
-    fitted = train.boosted_trees(rows, validation, names, settings, patience=4, first_rounds=6)
+    fitted = train.boosted_trees(rows, validation, names, settings, patience=4, block=6)
     rounds = fitted.curve.agg(F.max("iteration")).first()[0]
     assert fitted.stopped_early and rounds == fitted.best_iteration + 4 < 20000
     assert train.best_iteration(fitted.curve, 4).first()["stopped"] == 1

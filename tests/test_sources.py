@@ -122,8 +122,8 @@ def test_scoring_from_disk(spark, outcome):
     joined = scored.withColumnRenamed("predicted_price", "prediction").join(prices, "Sales ID")
     assert evaluate.metrics(joined).first()["R2"] > 0.8
     model, metadata = artifacts.load_best(spark, f"{output}/best_model")
-    assert metadata["model_key"] == "boosted_trees" and metadata["best_iteration"] >= 1
-    assert metadata["feature_names"] == got.preprocessor.final_columns
+    assert metadata["model"]["key"] == "boosted_trees" and metadata["model"]["rounds"] >= 1
+    assert metadata["model"]["features"] == got.preprocessor.final_columns and metadata["saved_at"].endswith("+00:00")
     one = df.where("`Sales ID` = 5003")
     alone = workflow.score(one, f"{output}/preprocessor", f"{output}/best_model", ["Sales ID"]).first()
     whole = scored.where("`Sales ID` = 5003").first()
