@@ -1,8 +1,8 @@
 """Boosting by single trees, in blocks of rounds over one stored table.
 
-A block fits its trees one after the other, each on what the trees before it left of the label. Trees of earlier
-blocks are not evaluated again: the table holds their sum as a column, one per run, and is written anew at the end of a
-block, whereupon the one before is deleted. So no round is fitted twice, a run can go on from where it stands or from an
+Trees are fitted one after the other, each on what the trees before it left of the label. The table holds the sum of
+the trees of earlier blocks as a column, one per run, so they are not evaluated again; at the end of a block it is written
+anew, whereupon the one before is deleted. So no round is fitted twice, a run can go on from where it stands or from an
 earlier model, and several runs (trials of a search) share the features of one table.
 
 As in MLlib's own boosting, the first tree counts fully and each later one by the learning rate.
@@ -15,7 +15,8 @@ import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import SparkContext, inheritable_thread_target
+from pyspark import SparkContext, StorageLevel, inheritable_thread_target
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,9 +25,11 @@ from ..runtime import discard, scratch_path
 FEATURES = "features"
 LABEL = "label"
 #: Rounds after which the sums are stored. A row passes through half as many trees, on average, per pass.
-BLOCK = 16
+BLOCK = 32
 #: Row shares are drawn in steps of this.
 SHARES = 1 << 20
+#: Vectors up to this length are stored dense.
+DENSE = 1024
 
 
 def ensemble(trees: Sequence, weights: Sequence[float]) -> GBTRegressionModel:
@@ -70,9 +73,17 @@ class Boosting:
         self.weights = [list(weights) for _ in self.arguments]
         self.errors: list[list[float]] = [[] for _ in self.arguments]
         self.start = len(first)
+        # Trees whose sum the table holds.
+        self.stored = len(first)
+
+        first_row = train.select(FEATURES).first()
+        short = first_row is not None and first_row[0].size <= DENSE
 
         def begun(rows, *more):
             before = F.lit(0.0)
+            if short:
+                # Trees look features up by number, which sparse vectors answer by search.
+                rows = rows.withColumn(FEATURES, array_to_vector(vector_to_array(FEATURES)))
             if warm:
                 rows = self._added(rows, first, weights, "__warm")
                 before = F.col("__warm")
@@ -81,8 +92,9 @@ class Boosting:
 
         self.train = self._stored(begun(train, F.xxhash64(FEATURES, LABEL).alias("__mark")), "boosting")
         self.validation = self._stored(begun(validation), "boosting-validation")
-        self.rows, checked = self.train[0].count(), self.validation[0].isEmpty()
-        if not self.rows or checked:
+        self.rows = self.train[0].count()
+        if not self.rows or self.validation[0].isEmpty():
+            self.close()
             raise ValueError("boosting needs training and validation rows that have a label")
 
     @staticmethod
@@ -92,7 +104,8 @@ class Boosting:
     def _stored(self, rows: DataFrame, name: str) -> tuple[DataFrame, str]:
         path = scratch_path(self.spark, name)
         rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path), path
+        # Every tree of a block reads the table several times; what is lost of the cache comes from the files.
+        return self.spark.read.schema(rows.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK), path
 
     @staticmethod
     def _added(rows: DataFrame, trees, weights, column: str) -> DataFrame:
@@ -114,24 +127,29 @@ class Boosting:
             return F.lit(True)
         return F.pmod(F.xxhash64("__mark", F.lit(arguments["seed"]), F.lit(round_number)), F.lit(SHARES)) < share
 
+    def _with_unstored(self, rows: DataFrame, run: int) -> tuple[DataFrame, Column]:
+        """The rows and the sum of the run's trees so far, of which the latest are not in the table yet."""
+        stored, trees = self.stored, self.trees[run]
+        total = F.col(self._sum(run))
+        if len(trees) == stored:
+            return rows, total
+        rows = self._added(rows, trees[stored:], self.weights[run][stored:], f"__unstored_{run}")
+        return rows, total + F.col(f"__unstored_{run}")
+
     def _fit_block(self, run: int, rounds: int) -> None:
-        arguments, column = self.arguments[run], self._sum(run)
-        trees, weights = self.trees[run], self.weights[run]
+        arguments, trees, weights = self.arguments[run], self.trees[run], self.weights[run]
         before = len(trees)
+        scored, so_far = self._with_unstored(self.validation[0], run)
         # MLlib's step is half the learning rate; see train.boosting_arguments.
         rate = 2 * arguments["stepSize"]
         for number in range(before, before + rounds):
-            rows = self.train[0].where(self._sampled(arguments, number))
-            left = F.col(LABEL) - F.col(column)
-            if len(trees) > before:
-                rows = self._added(rows, trees[before:], weights[before:], "__block")
-                left = left - F.col("__block")
-            fitted = self._learner(arguments, number).fit(rows.select(FEATURES, left.alias(LABEL)))
+            rows, total = self._with_unstored(self.train[0].where(self._sampled(arguments, number)), run)
+            fitted = self._learner(arguments, number).fit(rows.select(FEATURES, (F.col(LABEL) - total).alias(LABEL)))
             trees.append(fitted.trees[0] if hasattr(fitted, "trees") else fitted)
             weights.append(1.0 if number == 0 else rate)
 
         # One pass for the errors after each of the rounds.
-        scored, so_far, squares = self.validation[0], F.col(column), []
+        squares = []
         for i, (tree, weight) in enumerate(zip(trees[before:], weights[before:])):
             scored = tree.setPredictionCol(f"__tree_{i}").setFeaturesCol(FEATURES).transform(scored)
             so_far = so_far + weight * F.col(f"__tree_{i}")
@@ -141,26 +159,28 @@ class Boosting:
     def advance(self, runs: Sequence[int], rounds: int = BLOCK, last: bool = False) -> None:
         """Fit ``rounds`` more trees in each of ``runs``; the others cannot go on after this.
 
-        With ``last`` nothing is stored, as nothing will be added.
+        Once a block of trees is not in the table yet it is written anew, unless this is the ``last`` call.
         """
-        before = {run: len(self.trees[run]) for run in runs}
         with ThreadPoolExecutor(max_workers=self.parallel) as pool:
             list(pool.map(inheritable_thread_target(self.spark)(lambda run: self._fit_block(run, rounds)), runs))
         if last:
             return self.close()
+        trees = len(self.trees[runs[0]])
+        if trees - self.stored < BLOCK:
+            return
 
         def moved(rows, *more):
             sums = []
             for run in runs:
-                rows = self._added(rows, self.trees[run][before[run]:], self.weights[run][before[run]:], f"__new_{run}")
-                sums.append((F.col(self._sum(run)) + F.col(f"__new_{run}")).alias(self._sum(run)))
+                rows, total = self._with_unstored(rows, run)
+                sums.append(total.alias(self._sum(run)))
             return rows.select(FEATURES, LABEL, *more, *sums)
 
-        old = self.train[1], self.validation[1]
+        old = self.train, self.validation
         self.train = self._stored(moved(self.train[0], "__mark"), "boosting")
         self.validation = self._stored(moved(self.validation[0]), "boosting-validation")
-        for path in old:
-            discard(self.spark, path)
+        self.stored = trees
+        self._drop(old)
 
     def model(self, run: int, rounds: int) -> GBTRegressionModel:
         """The run's model after so many rounds of its own, besides those it started from."""
@@ -168,5 +188,9 @@ class Boosting:
 
     def close(self) -> None:
         """Delete the stored tables."""
-        for _, path in (self.train, self.validation):
+        self._drop((self.train, self.validation))
+
+    def _drop(self, tables) -> None:
+        for rows, path in tables:
+            rows.unpersist()
             discard(self.spark, path)

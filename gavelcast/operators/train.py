@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from ..params import BOOSTING_PARAMS, PATIENCE, RIDGE_PARAMS, SEED
 from . import conjugate, evaluate
-from .boosting import BLOCK, FEATURES, LABEL, Boosting, patience_rule
+from .boosting import FEATURES, LABEL, Boosting, patience_rule
 
 # Settings of leaf-wise or penalised trees, which MLlib's level-wise trees do not have.
 UNSUPPORTED = ("reg_alpha", "reg_lambda", "num_leaves")
 DEEPEST = 30
 # MLlib's normal solver refuses more.
 NORMAL_FEATURES = 4096
+# Rounds between two looks at the validation error.
+CHECKED = 16
 
 # Published settings as far as MLlib has them. A level-wise tree of at most 137 leaves is
 # one of depth 7, so the published depth of 15, which the leaves bound there, becomes 7.
@@ -159,23 +161,27 @@ def boosted_trees(
     features: Sequence[str],
     params: dict | None = None,
     patience: int = PATIENCE,
-    block: int = BLOCK,
+    block: int | None = None,
     key: str = "boosted_trees",
     warm: GBTRegressionModel | None = None,
 ) -> Fitted:
     """Boost until validation RMSE has not improved for ``patience`` rounds, or to the cap ``n_estimators``.
 
-    Rounds are fitted in blocks and the rule is checked after each, so a high cap costs nothing and a run goes
-    less than one block too far. The winner is the first trees of the run; nothing is fitted again. With ``warm``
+    The rule is checked every ``block`` rounds (16, or the patience if that is less), or sooner when it may end the
+    run sooner, so a high cap costs nothing and a run goes less than that too far. The winner is the first trees of the run; nothing is fitted again. With ``warm``
     the rounds continue that model, and rounds count from it.
     """
     start = time.time()
     arguments = boosting_arguments({**BOOSTING_DEFAULTS, **(params or {})})
     cap = arguments.pop("maxIter")
+    block = block or max(1, min(CHECKED, patience))
     run = Boosting(train, validation, [arguments], warm=warm)
     while True:
-        rounds = min(block, cap - len(run.errors[0]))
-        run.advance([0], rounds, last=len(run.errors[0]) + rounds >= cap)
+        done = len(run.errors[0])
+        at = patience_rule(run.errors[0], patience)[0]
+        # The rule cannot end the run before the patience since its best round has passed.
+        rounds = min(max(1, min(block, patience - (done - at))), cap - done)
+        run.advance([0], rounds, last=done + rounds >= cap)
         best, _, last, stopped = patience_rule(run.errors[0], patience)
         if stopped or len(run.errors[0]) >= cap:
             break

@@ -28,9 +28,10 @@ def predictions(model, rows):
     return [r["prediction"] for r in model.transform(rows).orderBy(train.LABEL).collect()]
 
 
-def test_blocks_do_not_change_a_run(frames):
+def test_blocks_do_not_change_a_run(frames, monkeypatch):
     rows, validation = frames
     whole = train.boosted_trees(rows, validation, NAMES, PLAIN, patience=50, block=12)
+    monkeypatch.setattr(boosting, "BLOCK", 4)
     parts = train.boosted_trees(rows, validation, NAMES, PLAIN, patience=50, block=5)
     assert whole.best_iteration == parts.best_iteration
     assert predictions(parts.model, validation) == pytest.approx(predictions(whole.model, validation), rel=1e-9)
@@ -86,7 +87,8 @@ def test_rows_are_needed(frames):
             train.boosted_trees(a, b, NAMES, PLAIN)
 
 
-def test_stored_tables_go(spark, frames):
+def test_stored_tables_go(spark, frames, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK", 2)
     before = set(_tables(spark))
     train.boosted_trees(*frames, NAMES, {**PLAIN, "n_estimators": 6}, patience=50, block=2)
     assert set(_tables(spark)) == before
@@ -104,18 +106,19 @@ SPACE = {"learning_rate": (0.02, 0.8, "log"), "max_depth": (1, 4, "int"), "subsa
 
 
 def test_halving_finds_the_winner_of_the_full_search_with_fewer_rounds(spark, frames):
-    points = tune._points(SPACE, 5, 6)
-    full = tune.race(*frames, points, trees=24, patience=6, block=6)
-    halved = tune.race(*frames, points, trees=24, patience=6, block=6, halve=3, first=6)
+    points = tune._points(SPACE, 5, 4)
+    full = tune.race(*frames, points, trees=12, patience=6, block=4)
+    halved = tune.race(*frames, points, trees=12, patience=6, block=4, halve=2, first=4)
     best = min(full, key=lambda r: (r[1], r[0]))
     assert min(halved, key=lambda r: (r[1], r[0]))[:4] == best[:4]
     assert sum(r[4] for r in halved) < sum(r[4] for r in full)
-    assert {r[5] for r in halved} >= {"halved"} and all(r[4] <= 24 for r in full)
-    table = tune.halving_search(*frames, NAMES, 6, SPACE, trees=24, patience=6, seed=5, first=6)
+    assert {r[5] for r in halved} >= {"halved"} and all(r[4] <= 12 for r in full)
+    table = tune.halving_search(*frames, NAMES, 4, SPACE, trees=12, patience=6, seed=5, halve=2, first=4)
     assert tune.best_trial(table).first()["params"] == json.dumps(points[best[0]], sort_keys=True)
 
 
-def test_a_race_equals_runs_alone(frames):
+def test_a_race_equals_runs_alone(frames, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK", 3)
     points = tune._points(SPACE, 9, 2)
     rows = tune.race(*frames, points, trees=8, patience=50, block=3)
     for row, point in zip(rows, points):
