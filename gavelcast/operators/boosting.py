@@ -5,7 +5,8 @@ the trees of earlier blocks as a column, one per run, so they are not evaluated
 anew, whereupon the one before is deleted. So no round is fitted twice, a run can go on from where it stands or from an
 earlier model, and several runs (trials of a search) share the features of one table.
 
-As in MLlib's own boosting, the first tree counts fully and each later one by the learning rate.
+The first block of a run that takes all rows is fitted by MLlib's own boosting, which bins the features once for all its
+rounds but cannot be continued; the others go tree by tree. As in MLlib's boosting, the first tree counts fully and each later one by the learning rate.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import SparkContext, StorageLevel, inheritable_thread_target
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import (
+    DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, RandomForestRegressor,
+)
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..runtime import discard, scratch_path
+from ..runtime import checkpoints, discard, scratch_path
 
 FEATURES = "features"
 LABEL = "label"
@@ -65,6 +68,7 @@ class Boosting:
     def __init__(self, train: DataFrame, validation: DataFrame, arguments: Sequence[dict], parallel: int = 1,
                  warm: GBTRegressionModel | None = None):
         self.spark = train.sparkSession
+        checkpoints(self.spark)
         self.arguments = list(arguments)
         self.parallel = max(parallel, 1)
         first = list(warm.trees) if warm else []
@@ -120,6 +124,17 @@ class Boosting:
             return DecisionTreeRegressor(**shared)
         return RandomForestRegressor(numTrees=1, bootstrap=False, featureSubsetStrategy=arguments["featureSubsetStrategy"], **shared)
 
+    @staticmethod
+    def _lead(arguments: dict, rounds: int) -> GBTRegressor:
+        return GBTRegressor(
+            featuresCol=FEATURES, labelCol=LABEL, maxIter=rounds, stepSize=arguments["stepSize"], maxDepth=arguments["maxDepth"],
+            maxBins=arguments["maxBins"], minInstancesPerNode=arguments["minInstancesPerNode"], seed=arguments["seed"],
+            featureSubsetStrategy=arguments["featureSubsetStrategy"], checkpointInterval=10)
+
+    def whole(self, run: int) -> bool:
+        """Whether every round of the run takes all rows, so that MLlib's boosting can fit its first block."""
+        return self.arguments[run]["subsamplingRate"] >= 1
+
     def _sampled(self, arguments: dict, round_number: int) -> Column:
         share = round(arguments["subsamplingRate"] * SHARES)
         # Of a handful of rows a sample may be empty.
@@ -142,7 +157,11 @@ class Boosting:
         scored, so_far = self._with_unstored(self.validation[0], run)
         # MLlib's step is half the learning rate; see train.boosting_arguments.
         rate = 2 * arguments["stepSize"]
-        for number in range(before, before + rounds):
+        if not trees and self.whole(run):
+            first = self._lead(arguments, rounds).fit(self.train[0].select(FEATURES, LABEL))
+            trees += first.trees
+            weights += first.treeWeights
+        for number in range(len(trees), before + rounds):
             rows, total = self._with_unstored(self.train[0].where(self._sampled(arguments, number)), run)
             fitted = self._learner(arguments, number).fit(rows.select(FEATURES, (F.col(LABEL) - total).alias(LABEL)))
             trees.append(fitted.trees[0] if hasattr(fitted, "trees") else fitted)

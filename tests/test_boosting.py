@@ -43,9 +43,12 @@ def test_no_round_is_fitted_twice(frames, monkeypatch):
     fitted = []
     learner = boosting.Boosting._learner
     monkeypatch.setattr(boosting.Boosting, "_learner", lambda self, arguments, number: fitted.append(number) or learner(self, arguments, number))
+    led = []
+    lead = boosting.Boosting._lead
+    monkeypatch.setattr(boosting.Boosting, "_lead", staticmethod(lambda arguments, rounds: led.append(rounds) or lead(arguments, rounds)))
     got = train.boosted_trees(*frames, NAMES, {**PLAIN, "n_estimators": 500, "learning_rate": 0.9}, patience=3, block=4)
-    assert got.stopped_early and fitted == list(range(len(fitted)))
-    assert got.best_iteration + 3 <= len(fitted) < got.best_iteration + 3 + 4
+    assert got.stopped_early and led == [4] and fitted == list(range(4, 4 + len(fitted)))
+    assert got.best_iteration + 3 <= 4 + len(fitted) < got.best_iteration + 3 + 4
 
 
 def test_a_warm_start_goes_on_where_a_run_stood(frames):
