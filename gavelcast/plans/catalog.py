@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -700,6 +701,18 @@ def business_impact(spark, sf_dir):
     return rounded(one.unionByName(two), 3)
 
 
+@query
+def all_tables(spark, sf_dir):
+    """Every table of a report: its rows, and the rows of data it accounts for where it counts any."""
+    prices = runtime.materialize(sale(spark, sf_dir).select("sale_price"), "prices")
+    judged = runtime.materialize(predictions(spark, sf_dir).where(F.col("split") == "test"), "predictions")
+    figures = [
+        rows.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("n_rows"),
+                 (F.sum("count") if "count" in rows.columns else F.lit(None)).cast("long").alias("total"))
+        for name, rows in plotdata.all_tables(prices, "sale_price", judged, "by_quantity").items()]
+    return reduce(DataFrame.unionByName, figures)
+
+
 # ---- sources and sinks ----------------------------------------------------------
 
 

@@ -545,6 +545,16 @@ select cast(least(floor((prediction - lo) / w), 49) as integer) as bin, count(*)
        round(stddev_pop(y - prediction), 4) as std_residual
 from chosen cross join span group by 1"""
 
+
+TARGET_BINS = WITH_SALE + ", " + histogram_sql("sale", "sale_price", 80)
+FIXED_TABLES = {"target_kde": 500, "target_summary": 1, "model_metrics": 1, "residual_kde": 500, "residual_summary": 1,
+                "model_comparison": 3, "business_impact": 1}
+SQL["all_tables"] = " union all ".join([
+    *[f"""select '{name}' as "table", cast({n} as bigint) as n_rows, cast(null as bigint) as total""" for name, n in FIXED_TABLES.items()],
+    *[f"select '{name}', count(*), cast(sum(count) as bigint) from ({SQL[twin] if twin else TARGET_BINS})" for name, twin in (
+        ("target_histogram", None), ("actual_vs_predicted", "scatter"), ("residual_histogram", "residual_histogram"),
+        ("residual_trend", "binned_trend"))]])
+
 SQL["business_impact"] = WITH_PREDICTIONS + """,
 mid as (select median(y) as m from chosen),
 maes as (select 'median_predictor' as baseline, avg(abs(y - m)) as baseline_mae,

@@ -35,7 +35,24 @@ def test_exact_sizes(spark, n):
     assert found == split_sizes(n)
 
 
-def test_exact_split_needs_a_unique_key(spark):
-    df = spark.range(100).select(F.lit(1).alias("id"))
-    with pytest.raises(ValueError, match="repeats"):
-        exact_split(df, "id")
+def sizes(df):
+    found = {r["split"]: r["count"] for r in df.groupBy("split").count().collect()}
+    return tuple(found.get(s, 0) for s in ("train", "val", "test"))
+
+
+@pytest.mark.parametrize("keys", [1, 3, 40])
+def test_exact_sizes_where_the_key_repeats(spark, keys):
+    """Keys held by many lines, told apart by another column."""
+    df = spark.range(500).select((F.col("id") % keys).alias("key"), "id")
+    got = exact_split(df, "key")
+    assert sizes(got) == split_sizes(500) and got.columns == ["key", "id", "split"]
+    assert sides(got) == sides(exact_split(df.repartition(5), "key"))
+    parted = {r["key"] for r in got.groupBy("key").agg(F.count_distinct("split").alias("n")).where("n > 1").collect()}
+    assert len(parted) <= 2
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100])
+def test_exact_sizes_of_equal_rows(spark, n):
+    df = spark.range(n).select(F.lit(1).alias("id"), F.lit(None).cast("string").alias("s"))
+    got = exact_split(df, "id")
+    assert sizes(got) == split_sizes(n) and got.columns == ["id", "s", "split"]
