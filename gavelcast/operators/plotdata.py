@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.quantiles import FINAL_ROWS, quantiles
@@ -20,6 +21,8 @@ KERNEL_REACH = 39.0
 # Width of the cells of a density in bandwidths, and terms of the kernel's series in a cell.
 KDE_CELL = 1 / 16
 KDE_TERMS = 14
+# Cells of the spline of a smooth trend.
+SPLINE_CELLS = 20
 
 
 def _present(df: DataFrame, column: str) -> DataFrame:
@@ -185,6 +188,69 @@ def binned_trend(df: DataFrame, bins: int = 50, y: str = "y", prediction: str =
         F.avg(r).alias("mean_residual"), F.stddev_pop(r).alias("std_residual"))
 
 
+def _spline_pieces(t):
+    """The four cubic B-splines over a unit cell, at the place ``t`` within it; for columns and arrays alike."""
+    u = 1 - t
+    return [u * u * u / 6, (3 * t * t * t - 6 * t * t + 4) / 6, (3 * u * u * u - 6 * u * u + 4) / 6, t * t * t / 6]
+
+
+def smooth_trend(
+    df: DataFrame, y: str = "y", prediction: str = "prediction", cells: int = SPLINE_CELLS, points: int = 100,
+    penalty: float | None = None,
+) -> DataFrame:
+    """Smooth mean of residuals along the prediction axis: ``(point, prediction, residual)``.
+
+    A cubic spline on equal cells, whose second differences are penalised. One aggregation sums, per cell, the products
+    of its four basis functions with each other and with the residual; the normal equations of ``cells + 3`` unknowns
+    are solved on the driver. Without a ``penalty`` the one of least generalised cross-validation is taken. Rows with a
+    missing value are left out; without rows the result is empty, and with a constant prediction it is the mean.
+    """
+    spark = df.sparkSession
+    rows = df.select(F.col(prediction).cast("double").alias("p"), (F.col(y) - F.col(prediction)).cast("double").alias("r")).where(
+        F.col("p").isNotNull() & F.col("r").isNotNull() & ~F.isnan("p") & ~F.isnan("r"))
+    low, high = _span(rows, "p")["p"]
+    schema = "point int, prediction double, residual double"
+    if high <= low:
+        mean = rows.agg(F.avg("r")).first()[0]
+        return spark.createDataFrame([] if mean is None else [(0, low, mean)], schema)
+    width = (high - low) / cells
+    placed = rows.select("r", bin_index(F.col("p"), low, high, cells).alias("cell"), "p")
+    placed = placed.select("r", "cell", ((F.col("p") - F.lit(low)) / F.lit(width) - F.col("cell")).alias("t"))
+    basis = _spline_pieces(F.col("t"))
+    pairs = [(i, j) for i in range(4) for j in range(i, 4)]
+    sums = placed.groupBy("cell").agg(
+        F.count("r").alias("n"), F.sum(F.col("r") * F.col("r")).alias("rr"),
+        *[F.sum(basis[i] * basis[j]).alias(f"b{i}{j}") for i, j in pairs], *[F.sum(b * F.col("r")).alias(f"r{i}") for i, b in enumerate(basis)])
+
+    size = cells + 3
+    gram, right, n, squares = np.zeros((size, size)), np.zeros(size), 0, 0.0
+    for row in sums.orderBy("cell").collect():
+        k = row["cell"]
+        for i, j in pairs:
+            gram[k + i, k + j] += row[f"b{i}{j}"]
+            if i != j:
+                gram[k + j, k + i] += row[f"b{i}{j}"]
+        right[k:k + 4] += [row[f"r{i}"] for i in range(4)]
+        n, squares = n + row["n"], squares + row["rr"]
+    bend = np.diff(np.eye(size), 2, axis=0)
+    rough = bend.T @ bend
+
+    def solved(weight):
+        return np.linalg.solve(gram + weight * rough + 1e-12 * n * np.eye(size), np.column_stack([right, gram]))
+
+    def crossed(weight):
+        found = solved(weight)
+        left = squares - 2 * found[:, 0] @ right + found[:, 0] @ gram @ found[:, 0]
+        return n * max(left, 0.0) / max(n - np.trace(found[:, 1:]), 1e-9) ** 2
+
+    weight = penalty if penalty is not None else min((n * 10.0 ** e for e in range(-8, 4)), key=crossed)
+    weights = solved(weight)[:, 0]
+    at = np.linspace(low, high, points)
+    cell = np.clip(((at - low) / width).astype(int), 0, cells - 1)
+    values = sum(piece * weights[cell + i] for i, piece in enumerate(_spline_pieces((at - low) / width - cell)))
+    return spark.createDataFrame([(i, float(a), float(v)) for i, (a, v) in enumerate(zip(at, values))], schema)
+
+
 def business_impact(
     df: DataFrame, baseline: str = "median_predictor", y: str = "y",
     prediction: str = "prediction", yearly_sales: int = YEARLY_SALES,
@@ -229,6 +295,7 @@ def all_tables(
         "residual_kde": kde(chosen, "residual"),
         "residual_summary": residual_summary(chosen),
         "residual_trend": binned_trend(chosen),
+        "residual_smooth": smooth_trend(chosen),
         "model_comparison": evaluate.compare(predictions),
         "business_impact": business_impact(chosen),
     }

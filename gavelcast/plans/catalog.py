@@ -701,6 +701,11 @@ def business_impact(spark, sf_dir):
     return rounded(one.unionByName(two), 3)
 
 
+@query
+def smooth_trend(spark, sf_dir):
+    return rounded(plotdata.smooth_trend(chosen(spark, sf_dir)), 4)
+
+
 @query
 def all_tables(spark, sf_dir):
     """Every table of a report: its rows, and the rows of data it accounts for where it counts any."""

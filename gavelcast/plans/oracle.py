@@ -547,7 +547,7 @@ from chosen cross join span group by 1"""
 
 
 TARGET_BINS = WITH_SALE + ", " + histogram_sql("sale", "sale_price", 80)
-FIXED_TABLES = {"target_kde": 500, "target_summary": 1, "model_metrics": 1, "residual_kde": 500, "residual_summary": 1,
+FIXED_TABLES = {"target_kde": 500, "target_summary": 1, "model_metrics": 1, "residual_kde": 500, "residual_summary": 1, "residual_smooth": 100,
                 "model_comparison": 3, "business_impact": 1}
 SQL["all_tables"] = " union all ".join([
     *[f"""select '{name}' as "table", cast({n} as bigint) as n_rows, cast(null as bigint) as total""" for name, n in FIXED_TABLES.items()],

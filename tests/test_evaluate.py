@@ -164,3 +164,41 @@ def test_business_impact(spark):
     assert got["annual_savings"] == pytest.approx((50 / 3 - 4) * 10_000)
     parity = plotdata.business_impact(df, "median_price").first()
     assert parity["improvement"] == 16.0 and parity["improvement_percent"] == 80.0
+
+
+def test_smooth_trend_equals_a_direct_solve(spark):
+    """The whole design matrix, built by recursion on knots, against sums per cell."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select(
+        F.col("o_totalprice").alias("prediction"), (F.col("o_totalprice") + F.sin(F.col("o_totalprice") / 40000) * 500 + F.col("o_orderkey") % 97).alias("y"))
+    cells, weight = 12, 50.0
+    got = plotdata.smooth_trend(rows, cells=cells, points=40, penalty=weight).orderBy("point").collect()
+    pairs = np.array(rows.collect(), dtype=float)
+    p, r = pairs[:, 0], pairs[:, 1] - pairs[:, 0]
+    low, high = p.min(), p.max()
+    knots = low + (high - low) / cells * np.arange(-3, cells + 4)
+
+    def design(x):
+        out = ((x[:, None] >= knots[:-1]) & (x[:, None] < knots[1:])).astype(float)
+        for k in range(1, 4):
+            out = ((x[:, None] - knots[:-k - 1]) / (knots[k:-1] - knots[:-k - 1]) * out[:, :-1]
+                   + (knots[k + 1:] - x[:, None]) / (knots[k + 1:] - knots[1:-k]) * out[:, 1:])
+        return out
+
+    b = design(p)
+    bend = np.diff(np.eye(cells + 3), 2, axis=0)
+    w = np.linalg.solve(b.T @ b + weight * bend.T @ bend + 1e-12 * len(p) * np.eye(cells + 3), b.T @ r)
+    at = np.array([g["prediction"] for g in got])
+    assert at[0] == low and at[-1] == high
+    assert [g["residual"] for g in got] == pytest.approx((design(at) @ w).tolist(), rel=1e-6, abs=1e-6)
+    chosen = plotdata.smooth_trend(rows, cells=cells, points=40).collect()
+    truth = [np.sin(g["prediction"] / 40000) * 500 + 48 for g in chosen]
+    assert np.sqrt(np.mean([(g["residual"] - t) ** 2 for g, t in zip(chosen[2:-2], truth[2:-2])])) < 25
+
+
+def test_smooth_trend_edges(spark):
+    schema = "y double, prediction double"
+    assert plotdata.smooth_trend(spark.createDataFrame([], schema)).collect() == []
+    flat = plotdata.smooth_trend(spark.createDataFrame([(3.0, 1.0), (5.0, 1.0), (None, 1.0)], schema)).collect()
+    assert [tuple(r) for r in flat] == [(0, 1.0, 3.0)]
+    two = plotdata.smooth_trend(spark.createDataFrame([(1.0, 0.0), (12.0, 10.0)], schema), points=3).collect()
+    assert [r["residual"] for r in two] == pytest.approx([1.0, 1.5, 2.0], abs=0.2)

@@ -102,7 +102,7 @@ def test_run_reports(outcome):
     assert scores["test", "boosted_trees"] > scores["test", "ridge"] > 0.5
     assert sum(r["count"] for r in got.segments.collect()) > 90
     assert {r["metric"] for r in got.summary.collect()} == {"MAE", "RMSE", "R2", "MAPE"}
-    assert len(got.tables) == 12
+    assert len(got.tables) == 13
     for name, table in got.tables.items():
         assert table.count() > 0, name
 
