@@ -9,7 +9,11 @@ So the points are indexed by bucket, and a small tree stands in each bucket: a n
 first shingles in an order that all share, and linked nodes share a bucket. Frequent shingles come last in
 the order, so a passage of many documents makes no large bucket unless the documents are little else.
 
-1. In each bucket and size band every node is compared with one hub. Confirmed links are contracted, so a large
+A node stands in a bucket with its room: how many of its shingles come at or after the bucket's in the order. Of two linked nodes
+the first shingle they share has room in both for the whole overlap, so a bucket only opens pairs whose rooms allow it.
+
+1. In each bucket and size band every node is compared with one hub, the one with the fewest shingles before the bucket's: among
+   edited copies the one with the fewest edits of its own. Confirmed links are contracted, so a large
    group of near copies costs one comparison per member, not one per pair.
 2. What a bucket still holds in different components is compared in full: its components are the tree's inner nodes
    (sizes and largest counts), pairs of them that the bound admits are opened, then pairs of points that the
@@ -160,7 +164,7 @@ def _sets(docs: DataFrame, key: str, text: str, width: int, wanted: DataFrame) -
 
 
 def _shared_rows(unique: DataFrame) -> DataFrame:
-    """``(shingle, node, n)`` of the prefix shingles that more than one row has, and of a few others.
+    """``(shingle, node, n, room)`` of the prefix shingles that more than one row has, and of a few others.
 
     The shingles are counted with partial sums; which are shared is sent as a filter of fixed size, so the rows of
     the others, which are most, are not shuffled.
@@ -173,19 +177,27 @@ def _shared_rows(unique: DataFrame) -> DataFrame:
         for batch in batches:
             prefixes = batch.column(2)
             flat = prefixes.flatten().to_numpy()
-            owner = np.repeat(np.arange(len(batch)), prefixes.value_lengths().to_numpy(zero_copy_only=False))
+            lengths = prefixes.value_lengths().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(batch)), lengths)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             kept = passes(sent.value, flat & (FILTER_BITS - 1))
-            at = pa.array(owner[kept])
-            yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), batch.column(0).take(at), batch.column(1).take(at)],
-                                             names=["shingle", "node", "n"])
+            owner, place = owner[kept], place[kept]
+            n = batch.column(1).to_numpy()[owner]
+            yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), batch.column(0).take(pa.array(owner)), pa.array(n), pa.array(n - place)],
+                                             names=["shingle", "node", "n", "room"])
 
-    return unique.select("node", "n", "prefix").mapInArrow(run, "shingle long, node long, n long")
+    return unique.select("node", "n", "prefix").mapInArrow(run, "shingle long, node long, n long, room long")
 
 
 def _sizes_fit(a, b, percent: int):
     return (100 * F.least(a, b)) >= percent * F.greatest(a, b)
 
 
+def _rooms_fit(a, b, sizes, percent: int):
+    """Whether two sets of so many shingles in all can share enough if nothing before the bucket's shingle is shared."""
+    return (100 + percent) * F.least(a, b) >= percent * sizes
+
+
 def _bound_fits(points_a, points_b, sizes, percent: int):
     """Whether the sum of coordinate minima reaches the overlap that sets of so many shingles in all need. A missing point bounds nothing."""
     most = F.aggregate(F.zip_with(points_a, points_b, lambda x, y: F.least(x, y).cast("long")),
@@ -228,9 +240,11 @@ def _joined(docs, key, text, width, percent):
     fine = materialize(points.where("fine is not null").select("node", "fine"), "fine")
 
     # 1. Every member of a bucket against the hub of its size band.
-    hubs = members.groupBy("shingle", "band").agg(F.min(F.struct("node", "n")).alias("hub"))
+    hubs = members.groupBy("shingle", "band").agg(F.min(F.struct(
+        (F.col("n") - F.col("room")).alias("before"), "node", "n", "room")).alias("hub"))
     star = (members.join(hubs, ["shingle", "band"]).where((F.col("node") != F.col("hub.node"))
-            & _sizes_fit(F.col("n"), F.col("hub.n"), percent))
+            & _sizes_fit(F.col("n"), F.col("hub.n"), percent)
+            & _rooms_fit(F.col("room"), F.col("hub.room"), F.col("n") + F.col("hub.n"), percent))
             .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), (F.col("n") + F.col("hub.n")).alias("sizes"))
             .distinct())
     star = materialize(_within_bound(star, place, fine, percent), "star")
@@ -246,20 +260,22 @@ def _joined(docs, key, text, width, percent):
         F.min("n").alias("least"), F.max("n").alias("most"),
         F.when(F.count("point") == F.count("node"), F.array(*[
             F.max(F.get("point", F.lit(i))) for i in range(GROUPS)])).alias("point")), "inner")
-    buckets = apart.groupBy("shingle", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    x, y = (buckets.select("shingle", *[F.col(n).alias(f"{n}_{side}") for n in ("label", "least", "most")]) for side in "ab")
+    buckets = apart.groupBy("shingle", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("room"))
+    x, y = (buckets.select("shingle", *[F.col(n).alias(f"{n}_{side}") for n in ("label", "least", "most", "room")]) for side in "ab")
     met = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("label_a") < F.col("label_b"))
                  & (100 * F.col("most_b") >= percent * F.col("least_a"))
-                 & (100 * F.col("most_a") >= percent * F.col("least_b"))).select("label_a", "label_b").distinct()
+                 & (100 * F.col("most_a") >= percent * F.col("least_b"))
+                 & _rooms_fit(F.col("room_a"), F.col("room_b"), F.col("least_a") + F.col("least_b"), percent)).select("label_a", "label_b").distinct()
     u, v = (inner.select(*[F.col(n).alias(f"{n}_{side}") for n in ("label", "least", "point")]) for side in "ab")
     opened = materialize(met.join(u, "label_a").join(v, "label_b").where(_bound_fits(
         "point_a", "point_b", F.col("least_a") + F.col("least_b"), percent)).select("label_a", "label_b"), "opened")
-    own = apart.select("shingle", F.col("label").alias("label_a"), F.col("node").alias("a"), F.col("n").alias("n_a"))
-    other = apart.select("shingle", F.col("label").alias("label_b"), F.col("node").alias("b"), F.col("n").alias("n_b"))
+    own = apart.select("shingle", F.col("label").alias("label_a"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("room").alias("room_a"))
+    other = apart.select("shingle", F.col("label").alias("label_b"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("room").alias("room_b"))
     small = opened.count() <= BROADCAST_PAIRS
     left = own.join(F.broadcast(opened) if small else opened, "label_a")
     near = left.join(other, (left["shingle"] == other["shingle"]) & (left["label_b"] == other["label_b"])
-                     & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)).select(
+                     & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
+                     & _rooms_fit(F.col("room_a"), F.col("room_b"), F.col("n_a") + F.col("n_b"), percent)).select(
         "a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes")).distinct()
     pairs = materialize(_within_bound(near, place, fine, percent), "pairs")
     more = _verified(docs, key, text, width, pairs, points, percent)
