@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,12 @@ AT_ONCE = 1 << 21
 TEXTS_AT_ONCE = 500
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Some hundred rows at a time, so that the sets of a whole batch never exist together."""
+    for begin in range(0, len(batch), TEXTS_AT_ONCE):
+        yield batch.slice(begin, TEXTS_AT_ONCE)
+
+
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The distinct shingles of each text; hashes of some hundred texts are held at a time."""
     for begin in range(0, len(texts), TEXTS_AT_ONCE):
@@ -121,7 +128,7 @@ def entries(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, level = often_sent.value
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             sizes, nodes, prefixes, points, fine = [], [], [], [], []
             for own in shingle_sets(batch.column(1), width):
                 rank = np.zeros(len(own), np.uint8)
@@ -155,10 +162,11 @@ def _sets(docs: DataFrame, key: str, text: str, width: int, wanted: DataFrame) -
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.filter(pa.array(passes(sent.value, batch.column(1).to_numpy(zero_copy_only=False))))
-            found = list(shingle_sets(own.column(0), width))
-            nodes = np.array([identity(x) for x in found], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), lists(found, np.int64)], names=["node", "members"])
+            wanted = batch.filter(pa.array(passes(sent.value, batch.column(1).to_numpy(zero_copy_only=False))))
+            for own in slices(wanted):
+                found = list(shingle_sets(own.column(0), width))
+                nodes = np.array([identity(x) for x in found], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), lists(found, np.int64)], names=["node", "members"])
 
     return docs.select(c(text), slot(c(key)).alias("slot")).mapInArrow(run, "node long, members array<long>")
 

@@ -42,6 +42,21 @@ def test_a_chain_of_edits_and_a_shared_passage(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(plain.groups(rows, 4, 85), key=key)
 
 
+def test_copies_with_few_edits_each(spark, monkeypatch):
+    """Most pairs of such copies are not linked, though all are close to one text."""
+    monkeypatch.setattr(ngram_join, "SIGHTINGS", 2)
+    words = [f"c{i}" for i in range(120)]
+    rows = []
+    for i in range(240):
+        own = list(words)
+        for e in range(i % 6):
+            own[(i * 37 + e * 53) % 120] = f"e{i // 3}_{e}"
+        rows.append((i, " ".join(own)))
+    got = found(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert got == sorted(plain.groups(rows, 4, 85), key=key)
+    assert 20 < len({x[2] for x in got}) < 200
+
+
 def test_frequent_shingles_do_not_change_results(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "SIGHTINGS", 2)
     monkeypatch.setattr(ngram_join, "AT_ONCE", 500)
