@@ -270,17 +270,22 @@ def _joined(docs, key, text, width, percent):
             F.max(F.get("point", F.lit(i))) for i in range(GROUPS)])).alias("point")), "inner")
     buckets = apart.groupBy("shingle", "label").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("room"))
     x, y = (buckets.select("shingle", *[F.col(n).alias(f"{n}_{side}") for n in ("label", "least", "most", "room")]) for side in "ab")
-    met = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("label_a") < F.col("label_b"))
-                 & (100 * F.col("most_b") >= percent * F.col("least_a"))
-                 & (100 * F.col("most_a") >= percent * F.col("least_b"))
-                 & _rooms_fit(F.col("room_a"), F.col("room_b"), F.col("least_a") + F.col("least_b"), percent)).select("label_a", "label_b").distinct()
+    met = materialize(x.join(y, (x["shingle"] == y["shingle"]) & (F.col("label_a") < F.col("label_b"))
+                             & (100 * F.col("most_b") >= percent * F.col("least_a"))
+                             & (100 * F.col("most_a") >= percent * F.col("least_b"))
+                             & _rooms_fit(F.col("room_a"), F.col("room_b"), F.col("least_a") + F.col("least_b"), percent)).select(
+        x["shingle"], "label_a", "label_b", F.col("least_b").alias("least"), F.col("most_b").alias("most"), F.col("room_b").alias("room")), "met")
     u, v = (inner.select(*[F.col(n).alias(f"{n}_{side}") for n in ("label", "least", "point")]) for side in "ab")
-    opened = materialize(met.join(u, "label_a").join(v, "label_b").where(_bound_fits(
+    opened = materialize(met.select("label_a", "label_b").distinct().join(u, "label_a").join(v, "label_b").where(_bound_fits(
         "point_a", "point_b", F.col("least_a") + F.col("least_b"), percent)).select("label_a", "label_b"), "opened")
+    # A node is paired with a component only in the buckets where both stand, and only if the component may hold a partner.
+    small = opened.count() <= BROADCAST_PAIRS
+    places = met.join(F.broadcast(opened) if small else opened, ["label_a", "label_b"], "left_semi")
     own = apart.select("shingle", F.col("label").alias("label_a"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("room").alias("room_a"))
     other = apart.select("shingle", F.col("label").alias("label_b"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("room").alias("room_b"))
-    small = opened.count() <= BROADCAST_PAIRS
-    left = own.join(F.broadcast(opened) if small else opened, "label_a")
+    left = own.join(places, ["shingle", "label_a"]).where(
+        (100 * F.col("n_a") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n_a"))
+        & _rooms_fit(F.col("room_a"), F.col("room"), F.col("n_a") + F.col("least"), percent))
     near = left.join(other, (left["shingle"] == other["shingle"]) & (left["label_b"] == other["label_b"])
                      & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
                      & _rooms_fit(F.col("room_a"), F.col("room_b"), F.col("n_a") + F.col("n_b"), percent)).select(
