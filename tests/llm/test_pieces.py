@@ -77,3 +77,13 @@ def test_the_test_table_round_trips(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = pieces.encoded(docs, PATH).select("round_trip", "n_pieces")
     assert rows.where("not round_trip").isEmpty() and rows.count() == docs.count()
+
+
+def test_the_query_returns_every_segmentation(spark):
+    """The best one as ``ids``, the others of the N best as ``others``."""
+    from gavelcast.llm import catalog
+
+    rows = catalog.QUERIES["op6_pieces"](spark, "/root/testdata/sf0.001").limit(20).collect()
+    assert all(len(r["others"]) == len(r["scores"]) - 1 for r in rows)
+    assert any(r["others"] for r in rows)
+    assert all(other != r["ids"] for r in rows for other in r["others"])
