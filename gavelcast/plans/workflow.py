@@ -12,6 +12,7 @@ from ..functions.columns import c, log_target, to_original_scale, without_nan
 from ..operators import evaluate, plotdata, train, tune
 from ..operators.features import engineer
 from ..operators.preprocess import Preprocessor
+from ..operators.schema import drop_columns
 from ..operators.split import exact_split, hash_split
 from ..params import Settings
 from ..runtime import materialize
@@ -28,11 +29,18 @@ def load_and_split(
     return splits(prepare(csv.read_sales(spark, path), settings, exact))
 
 
-def prepare(df: DataFrame, settings: Settings | None = None, exact: bool = False) -> DataFrame:
-    """Engineered rows with a ``split`` column, stored once, one folder per split."""
+def prepare(
+    df: DataFrame, settings: Settings | None = None, exact: bool = False, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Engineered rows with a ``split`` column, stored once, one folder per split.
+
+    With ``keep``, the columns that the preprocessor drops are dropped before they are stored, but for those named.
+    """
     s = settings or Settings()
     divide = exact_split if exact else hash_split
     ready = divide(engineer(without_nan(df), s), s.split_key, s.split_ratios, s.seed)
+    if keep is not None:
+        ready = drop_columns(ready, s.dropped, (*s.target_encoded, *s.one_hot), (*keep, s.target, s.group, "split"))
     return materialize(ready, "prepared", "split")
 
 
@@ -131,7 +139,7 @@ def tune_boosting(
 
     ``method`` is a name of ``SEARCHES``; what else is given goes to that function.
     """
-    parts = splits(prepare(df, settings, exact))
+    parts = splits(prepare(df, settings, exact, keep=()))
     prep = Preprocessor(settings).fit(parts["train"])
     fit_rows = training_rows(prep, parts).persist(StorageLevel.MEMORY_AND_DISK)
     judged = evaluation_rows(prep, parts).where(F.col("split") == "val")

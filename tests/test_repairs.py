@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from gavelcast.functions import columns as fx
 from gavelcast.operators import encode, plotdata
+from gavelcast.operators.preprocess import Preprocessor
 from gavelcast.params import Settings
-from gavelcast.plans import workflow
+from gavelcast.plans import sale, workflow
 from gavelcast.sources import csv
 
 
@@ -49,6 +50,26 @@ def test_nan_of_other_sources_is_missing(spark):
     assert means.overall == means.overall
 
 
+def test_lines_are_not_shuffled_for_customers(spark):
+    """In the plan, the join with customers has no lines below it."""
+    rows = sale.sale(spark, "/root/testdata/sf0.001")
+    lines = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    at = next(i for i, line in enumerate(lines) if "Join Inner" in line and "(o_custkey" in line)
+    below = lines[at + 1:next((i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]), len(lines))]
+    assert any("c_custkey" in line for line in below) and not any("l_orderkey" in line for line in below)
+
+
+def test_dropped_columns_need_not_be_stored(spark):
+    s, rows = sale.SALE_SETTINGS, sale.sale(spark, "/root/testdata/sf0.001")
+    whole, narrow = workflow.prepare(rows, s), workflow.prepare(rows, s, keep=("l_orderkey", "l_linenumber"))
+    assert set(whole.columns) - set(narrow.columns) == {"l_partkey", "c_name", "n_name", "Sale_Date"}
+    one, two = (Preprocessor(s).fit(workflow.splits(p)["train"]).transform(
+        workflow.splits(p)["test"], keep=["l_orderkey", "l_linenumber"]).drop(*s.target_encoded) for p in (whole, narrow))
+    assert one.columns == two.columns and one.count() == two.count()
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
 def write(path, **files):
     path.mkdir(exist_ok=True)
     for name, text in files.items():
