@@ -146,14 +146,18 @@ def distance(counts: Column, reference: list[float]) -> Column:
     """Jensen-Shannon distance of a histogram of counts from shares."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda t, x: t + x)
 
-    def term(x, y):
-        p = x / total
-        middle = (p + y) / 2
-        return (F.when(p > 0, p * F.log2(p / middle)).otherwise(0.0)
-                + F.when(y > 0, y * F.log2(y / middle)).otherwise(0.0))
-
-    terms = F.zip_with(counts, F.array(*[F.lit(float(y)) for y in reference]), term)
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda t, x: t + x) / 2, F.lit(0.0)))
+    def of(total):
+        def term(x, y):
+            p = x / total
+            middle = (p + y) / 2
+            # Without a count the term is y * log2(y / (y / 2)), that is y.
+            return F.when(x == 0, y).when(y > 0, p * F.log2(p / middle) + y * F.log2(y / middle)).otherwise(p)
+
+        terms = F.zip_with(counts, F.array(*[F.lit(float(y)) for y in reference]), term)
+        return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda t, x: t + x) / 2, F.lit(0.0)))
+
+    # As an element of an array the total is summed once; named in ``term`` itself it would be summed again for every count.
+    return F.when(total > 0, F.get(F.transform(F.array(total), of), F.lit(0)))
 
 
 def judge(measured: DataFrame, known: dict, limits: Limits = Limits()) -> DataFrame:

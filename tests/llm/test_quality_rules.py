@@ -63,3 +63,14 @@ def test_no_python_in_the_plan(spark, capsys):
     q.measure(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_distance_sums_the_counts_once(spark, capsys):
+    """No term of the distance sums the histogram again, and a histogram without counts has no distance."""
+    rows = spark.createDataFrame([([3, 0, 5],), ([0, 0, 0],)], "counts array<long>")
+    found = rows.select(q.distance(F.col("counts"), [0.25, 0.25, 0.5]).alias("d"))
+    found.explain()
+    plan = capsys.readouterr().out.replace("cast(", "")
+    assert "/ aggregate(" not in plan and "aggregate(counts" in plan
+    got = [r["d"] for r in found.collect()]
+    assert got[0] > 0 and got[1] is None
