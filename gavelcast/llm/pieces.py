@@ -24,6 +24,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -32,6 +33,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, types as T
 
 from ..functions.columns import c
+from .links import lists
 from .tokens import mix
 
 MARK = "▁"
@@ -307,14 +309,13 @@ class Encoder:
     def learn(self, parts: Iterable[str]) -> None:
         """Segment the pre-tokens not known yet, some ``at_once`` characters at a time."""
         batch, size = [], 0
-        for part in parts:
-            if part not in self.index:
-                self.index[part] = len(self.index)
-                batch.append(part)
-                size += len(part)
-                if size >= self.at_once:
-                    self._segment(batch)
-                    batch, size = [], 0
+        for part in [part for part in dict.fromkeys(parts) if part not in self.index]:
+            self.index[part] = len(self.index)
+            batch.append(part)
+            size += len(part)
+            if size >= self.at_once:
+                self._segment(batch)
+                batch, size = [], 0
         if batch:
             self._segment(batch)
 
@@ -328,7 +329,7 @@ class Encoder:
             self.gap = np.concatenate((self.gap, lattices.gaps()))
 
     def encode(self, texts: list[str | None], others: bool = True
-               ) -> Iterator[tuple[np.ndarray, list[float], list[list[int]]]]:
+               ) -> Iterator[tuple[np.ndarray, list[float], list[np.ndarray]]]:
         """Per text: ids of the best segmentation, scores of the N best, ids of the others if wanted."""
         done = 0
         while done < len(texts):
@@ -339,22 +340,24 @@ class Encoder:
                 parts.append(self.split(texts[upto]))
                 size += len(texts[upto] or "")
                 upto += 1
-            self.learn(part for own in parts for part in own)
+            self.learn(chain.from_iterable(parts))
             for own in parts:
                 yield self._text(own, others)
             done = upto
 
-    def _best(self, at: np.ndarray) -> np.ndarray:
+    def _best(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the best segmentation, and where those of each pre-token end."""
         begin = self.first[at]
         size = self.first[at + 1] - begin
-        shift = np.repeat(begin - (np.cumsum(size) - size), size)
-        return self.ids[shift + np.arange(len(shift))]
+        ends = np.cumsum(size)
+        shift = np.repeat(begin - (ends - size), size)
+        return self.ids[shift + np.arange(len(shift))], ends
 
     def _text(self, parts: list[str], with_others: bool):
         if not parts:
             return np.zeros(0, np.int32), [], []
         at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
-        ids, score = self._best(at), float(self.scores[at].sum())
+        (ids, ends), score = self._best(at), float(self.scores[at].sum())
         if self.n == 1:
             return ids, [score], []
         gaps = self.gap[at]
@@ -370,16 +373,16 @@ class Encoder:
                              for k, (gained, _) in enumerate(options))[:self.n]
         others = []
         for _, picks in choices[1:] if with_others else []:
-            picked, rest, own = dict(zip(loose, picks)), 0, []
-            for i in loose:
-                own += self._best(at[rest:i]).tolist() + self._options(parts[i])[picked[i]][1]
-                rest = i + 1
-            others.append(own + self._best(at[rest:]).tolist())
+            rest, own = 0, []
+            for i, k in zip(loose, picks):
+                own += [ids[rest:ends[i - 1] if i else 0], self._options(parts[i])[k][1]]
+                rest = ends[i]
+            others.append(np.concatenate([*own, ids[rest:]]))
         return ids, [score - lost for lost, _ in choices], others
 
     def _options(self, part: str) -> list:
         if part not in self.others:
-            self.others[part] = n_best(self.vocabulary, part, self.n)
+            self.others[part] = [(score, np.array(ids, np.int32)) for score, ids in n_best(self.vocabulary, part, self.n)]
         return self.others[part]
 
 
@@ -429,12 +432,12 @@ def encoded(docs: DataFrame, model_path: str, text: str = "text", n: int = 3, ke
                     scores.append(n_scores)
                     same.append(decode(encoder.vocabulary, best) == (body or "").replace(MARK, " "))
                     others.append(rest)
-                flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-                offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-                columns = [pa.ListArray.from_arrays(offsets, flat), pa.array(sizes, pa.int64()),
+                columns = [lists(ids, np.int32), pa.array(sizes, pa.int64()),
                            pa.array(scores, pa.list_(pa.float64())), pa.array(same, pa.bool_())]
                 if keep_others:
-                    columns.append(pa.array(others, pa.list_(pa.list_(pa.int32()))))
+                    first = np.concatenate(([0], np.cumsum([len(rest) for rest in others])))
+                    columns.append(pa.ListArray.from_arrays(
+                        pa.array(first, pa.int32()), lists(chain.from_iterable(others), np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [*[rows.column(i) for i in wanted], *columns], names=[*kept, *[f.name for f in added]])
 

@@ -87,3 +87,10 @@ def test_the_query_returns_every_segmentation(spark):
     assert all(len(r["others"]) == len(r["scores"]) - 1 for r in rows)
     assert any(r["others"] for r in rows)
     assert all(other != r["ids"] for r in rows for other in r["others"])
+
+
+def test_segmentations_stay_arrays(vocabulary):
+    """No list of ids is made per text: the others are arrays of the ids' type, as the best one is."""
+    (ids, _, others), = pieces.Encoder(MODEL, 3).encode(["é the cat \U0001f600 the cat"])
+    assert len(others) == 2 and all(x.dtype == ids.dtype == np.int32 for x in others)
+    assert all(pieces.decode(vocabulary, x) == "é the cat \U0001f600 the cat" for x in others)
