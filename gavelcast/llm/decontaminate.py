@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.columns import c
 from ..runtime import materialize
-from .tokens import ALNUM, windows, word_hashes
+from .tokens import ALNUM, slices, windows, word_hashes
 
 LEAST = 5
 COVERED = 0.8
@@ -164,7 +165,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
 
     def against(sent):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in chain.from_iterable(slices(batch, len(carry)) for batch in batches):
                 texts, earlier = batch.column(len(carry)), batch.column(len(carry) + 1).to_pylist()
                 cells = [(own or []) + [dict(item=i, coverage=s, tiles=n) for i, s, n in more]
                          for own, more in zip(earlier, scan(sent.value, texts, covered))]

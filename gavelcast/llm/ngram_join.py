@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.columns import c
 from ..runtime import materialize
 from .links import FILTER_BITS, bit_filter, components, id_filter, lists, low_bits, passes, slot
-from .tokens import mix, shingles, word_hashes
+from .tokens import mix, shingles, slices, word_hashes
 
 #: Points of unrelated sets lie further apart than similar ones may, up to some 50 shingles a group.
 GROUPS = 128
@@ -54,19 +54,12 @@ FREQUENT, SIGHTINGS = 1 << 20, 32
 BROADCAST_PAIRS = 1_000_000
 #: Shingles among which a task looks for repeated ones at a time.
 AT_ONCE = 1 << 21
-TEXTS_AT_ONCE = 500
-
-
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Some hundred rows at a time, so that the sets of a whole batch never exist together."""
-    for begin in range(0, len(batch), TEXTS_AT_ONCE):
-        yield batch.slice(begin, TEXTS_AT_ONCE)
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The distinct shingles of each text; hashes of some hundred texts are held at a time."""
-    for begin in range(0, len(texts), TEXTS_AT_ONCE):
-        hashes, first = word_hashes(texts.slice(begin, TEXTS_AT_ONCE))
+    for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), 0):
+        hashes, first = word_hashes(part.column(0))
         yield from map(np.unique, shingles(hashes, first, width))
 
 
@@ -91,10 +84,13 @@ def frequent(docs: DataFrame, text: str, width: int, most: int = FREQUENT) -> tu
         held, size = [], 0
 
         def repeated():
-            values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
-            often = counts > 1
-            return pa.RecordBatch.from_arrays(
-                [pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["shingle", "n"])
+            values = np.concatenate(held) if held else np.zeros(0, np.uint64)
+            held.clear()
+            values.sort()
+            # Most are single, so only the others are copied and counted.
+            same = np.concatenate(([False], values[1:] == values[:-1], [False]))
+            values, counts = np.unique(values[same[1:] | same[:-1]], return_counts=True) if len(values) else (values, values)
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], names=["shingle", "n"])
 
         for batch in batches:
             for own in shingle_sets(batch.column(0), width):
@@ -102,7 +98,7 @@ def frequent(docs: DataFrame, text: str, width: int, most: int = FREQUENT) -> tu
                 size += len(own)
                 if size >= AT_ONCE:
                     yield repeated()
-                    held, size = [], 0
+                    size = 0
         yield repeated()
 
     seen = docs.select(c(text)).mapInArrow(run, "shingle long, n long")
@@ -128,7 +124,7 @@ def entries(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, level = often_sent.value
-        for batch in chain.from_iterable(map(slices, batches)):
+        for batch in chain.from_iterable(slices(batch, 1) for batch in batches):
             sizes, nodes, prefixes, points, fine = [], [], [], [], []
             for own in shingle_sets(batch.column(1), width):
                 rank = np.zeros(len(own), np.uint8)
@@ -163,7 +159,7 @@ def _sets(docs: DataFrame, key: str, text: str, width: int, wanted: DataFrame) -
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.filter(pa.array(passes(sent.value, batch.column(1).to_numpy(zero_copy_only=False))))
-            for own in slices(wanted):
+            for own in slices(wanted, 0):
                 found = list(shingle_sets(own.column(0), width))
                 nodes = np.array([identity(x) for x in found], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes), lists(found, np.int64)], names=["node", "members"])

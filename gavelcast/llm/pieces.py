@@ -39,7 +39,7 @@ from .tokens import mix
 MARK = "▁"
 UNKNOWN = 10.0
 #: Characters of new pre-tokens that are segmented at once, and pre-tokens a task keeps.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 15
 KEPT = 600_000
 LOWEST = -1e300
 

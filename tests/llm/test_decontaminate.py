@@ -63,3 +63,19 @@ def test_the_test_table(spark):
         for b in bench.collect():
             if b["text"] in r["text"]:
                 assert (r["doc_id"], b["item_id"]) in got
+
+
+def test_a_batch_is_read_in_slices(spark, monkeypatch):
+    """Arrays of words exist for some hundred texts at a time, however many rows a batch has."""
+    seen, runs, scan = [], [], d.scan
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    through = type(docs).mapInArrow
+    monkeypatch.setattr(d, "scan", lambda items, texts, covered: seen.append(len(texts)) or scan(items, texts, covered))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or through(self, run, schema))
+    judged = d.contaminated(docs, spark.createDataFrame(BENCH, "item_id long, text string"), carry=["doc_id"])
+    texts = [DOCS[i % len(DOCS)][1] for i in range(1300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1300)), pa.array(texts), pa.nulls(1300, pa.list_(pa.int64()))], names=["doc_id", "_text", "_found"])
+    out = pa.Table.from_batches(runs[0]([batch])).to_pylist()
+    assert max(seen) <= 500 and sum(seen) == 1300 and [r["doc_id"] for r in out] == list(range(1300))
+    want = {r["doc_id"]: r["items"] for r in judged.where("doc_id <> 7").collect()}
+    assert all([x["item"] for x in r["_found"]] == want[DOCS[r["doc_id"] % len(DOCS)][0]] for r in out if DOCS[r["doc_id"] % len(DOCS)][0] != 7)

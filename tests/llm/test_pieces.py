@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -94,3 +95,16 @@ def test_segmentations_stay_arrays(vocabulary):
     (ids, _, others), = pieces.Encoder(MODEL, 3).encode(["é the cat \U0001f600 the cat"])
     assert len(others) == 2 and all(x.dtype == ids.dtype == np.int32 for x in others)
     assert all(pieces.decode(vocabulary, x) == "é the cat \U0001f600 the cat" for x in others)
+
+
+def test_memory_of_new_pre_tokens_is_bounded():
+    """The lattices of a text's new pre-tokens do not all exist at once."""
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(60_000))
+    encoder = pieces.Encoder(MODEL, 3)
+    tracemalloc.start()
+    (ids, scores, _), = encoder.encode([text], False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces.decode(encoder.vocabulary, ids) == text and len(scores) == 3
+    assert peak < 100e6

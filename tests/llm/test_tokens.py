@@ -33,3 +33,14 @@ def test_slices_of_arrays():
     hashes, first = tokens.word_hashes(texts)
     whole, _ = tokens.word_hashes(pa.array(["a b", "c"]))
     assert first.tolist() == [0, 2, 3] and hashes.tolist() == whole.tolist()
+
+
+def test_slices_are_bounded_in_rows_and_bytes():
+    texts = ["a b"] * 1200 + [None, "", "long " * 1_000_000, "x " * 1_500_000, None] + ["y" * 3_000_000] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    for given in (batch, batch.slice(700), batch.slice(0, 0), batch.slice(1200, 2)):
+        parts = list(tokens.slices(given, 1))
+        assert [i for part in parts for i in part.column(0).to_pylist()] == given.column(0).to_pylist()
+        for part in parts:
+            sizes = [len(x or "") for x in part.column(1).to_pylist()]
+            assert 0 < len(sizes) <= 500 and (sum(sizes) <= 1 << 22 or len(sizes) == 1)
