@@ -43,6 +43,29 @@ def test_positions_run_through_many_ranges(spark):
     assert [r["level"] for r in state[:5000]] == [f"l{i:05d}" for i in range(5000)]
 
 
+def test_no_level_is_named_on_the_driver(spark):
+    """The frame's metadata had a name per entry, millions of them in wide tables."""
+    rows = spark.range(6000).select((F.col("id") % 3000).cast("string").alias("c"), F.col("id").cast("double").alias("x"), F.col("id").alias("i"))
+    index = sparse.fit_levels(rows, ["c"], 2)
+    made = sparse.assembled(rows, index, ["x"])
+    assert made.schema["features"].metadata == {} and len(made.schema.json()) < 2000
+    vectors = {r["i"]: r["features"] for r in made.where("i in (0, 1, 10, 5999)").collect()}
+    assert vectors[0] == SparseVector(3000, {}) and vectors[1] == SparseVector(3000, {0: 1.0, 1: 1.0})
+    last = sorted(map(str, range(3000))).index("2999")
+    assert vectors[10] == SparseVector(3000, {0: 10.0, 2: 1.0}) and vectors[5999] == SparseVector(3000, {0: 5999.0, last: 1.0})
+
+
+def test_numbers_pass_whole_and_missing_ones_raise(spark):
+    values = [1 / 3, -0.1, 5e-324, 1.7e308, float("inf"), 0.0]
+    rows = spark.createDataFrame([("a" if i % 2 else "b", v) for i, v in enumerate(values)], "c string, x double")
+    index = sparse.fit_levels(rows, ["c"], 1)
+    made = sparse.assembled(rows, index, ["x"])
+    assert sorted(r["features"].toArray()[0] for r in made.collect()) == sorted(values)
+    for bad in (None, float("nan")):
+        with pytest.raises(Exception, match="missing in a row"):
+            sparse.assembled(spark.createDataFrame([("a", bad)], "c string, x double"), index, ["x"]).collect()
+
+
 def test_two_hundred_thousand_levels(spark):
     """Fitted and applied without a column or a driver entry per level."""
     n = 200_000
