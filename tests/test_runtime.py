@@ -1,6 +1,7 @@
 import os
 import subprocess
 import sys
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -61,3 +62,23 @@ def test_concurrent_steps_keep_their_order_and_errors(spark):
     assert runtime.concurrently(spark, lambda: 1, lambda: spark.range(3).count()) == [1, 3]
     with pytest.raises(ZeroDivisionError):
         runtime.concurrently(spark, lambda: 1 / 0, lambda: 2)
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return sum("shuffle" in str(f) for f in iter_java(files.getAllFiles()))
+
+    def iter_java(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    setting = spark.conf.get(runtime.CLEAN_SHUFFLES)
+    before = shuffles()
+    stored, path = runtime.written_clean(spark.range(1000).repartition(3).groupBy(F.col("id") % 7).count(), "clean")
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and stored.count() == 7 and spark.conf.get(runtime.CLEAN_SHUFFLES) == setting
+    runtime.discard(spark, path)
