@@ -130,6 +130,15 @@ def test_a_race_equals_runs_alone(frames, monkeypatch):
         assert row[1] == pytest.approx(alone.curve.agg(F.min("rmse")).first()[0], rel=1e-9)
 
 
+def test_files_are_read_in_the_order_of_their_tasks(spark, frames):
+    rows, validation = frames
+    run = boosting.Boosting(rows.repartition(9), validation, [train.boosting_arguments(PLAIN)])
+    read = run.records[0]._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().location().rootPaths()
+    names = [str(read.apply(i)).rsplit("/", 1)[1] for i in range(read.size())]
+    assert len(names) >= 9 and names == sorted(names)
+    run.close()
+
+
 def test_parzen_beats_random_draws():
     """A fixed function of a log-scaled, a whole and a plain setting, 20 seeds, the same number of trials."""
     space = {"rate": (1e-4, 1.0, "log"), "depth": (1, 15, "int"), "share": (0.0, 1.0, "float")}
